@@ -5,12 +5,50 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tsumugi.llm.common import table
+from tsumugi.llm import sampling
+from tsumugi.llm.common import stage, table
 from tsumugi.llm.spans import shared_spans
+from tsumugi.llm.text import same_looking_pairs, settle, unify
 from tsumugi.llm.tokenize import encode_corpus
 
 
+def p1_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The category tree of the requests: category under its first allowed style under that style's tone; style under its tone."""
+    preset = table(spark, sf_dir, "style_preset").select("name", "tone")
+    first = table(spark, sf_dir, "allowed_style").groupBy("category").agg(F.min_by("style", "pos").alias("name"))
+    return first.join(preset, "name", "left").select(F.col("category").alias("stratum"), F.col("name").alias("parent"), F.col("tone").alias("grandparent")).unionByName(preset.select(F.col("name").alias("stratum"), F.col("tone").alias("parent"), F.lit("style").alias("grandparent")))
+
+
+def _p1(spark: SparkSession, sf_dir: str) -> tuple[dict, DataFrame, DataFrame]:
+    sources = {("merged_person_categories", "category"): (table(spark, sf_dir, "merged_person_categories"), "row_id"), ("augmented_data", "prompt_style"): (table(spark, sf_dir, "augmented_data"), "aug_id")}
+    requests = table(spark, sf_dir, "sample_requests")
+    report = sampling.sampling_report(sampling.available(sources, requests), requests, table(spark, sf_dir, "sample_targets"), p1_tree(spark, sf_dir))
+    return sources, requests, report
+
+
+def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p1(spark, sf_dir)[2]
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_report(spark, sf_dir).where("not met").select("request_id", "stratum")
+
+
+def p1_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sources, requests, report = _p1(spark, sf_dir)
+    return sampling.draw(sampling.requested(sources, requests), stage(report, "p1_report"))
+
+
+def p4_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settle(unify(table(spark, sf_dir, "merged_person_categories"), "row_id", ["title", "body"])).select(F.col("id").alias("row_id"), "field", "stored", "unified")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return same_looking_pairs(unify(table(spark, sf_dir, "merged_person_categories"), "row_id", ["title", "body"]))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
 

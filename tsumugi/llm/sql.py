@@ -3,5 +3,22 @@
 from __future__ import annotations
 
 
+#: Keys of each table counted once, with the field without white space around it.
+AVAILABLE = """
+    select 'merged_person_categories' as table_name, 'category' as field, regexp_replace(category, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g') as stratum, count(distinct row_id) as n
+    from merged_person_categories group by 3
+    union all
+    select 'augmented_data', 'prompt_style', regexp_replace(prompt_style, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g'), count(distinct aug_id)
+    from augmented_data group by 3
+"""
+
+P1_FOUND = f"""
+    with available as ({AVAILABLE})
+    select t.request_id, t.stratum
+    from sample_targets t join sample_requests r on r.request_id = t.request_id
+    left join available a on a.table_name = r.table_name and a.field = r.field and a.stratum = t.stratum
+    where coalesce(a.n, 0) < greatest(t.min_rows, t.target_share * r.sample_size)
+"""
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p1_found": P1_FOUND}
