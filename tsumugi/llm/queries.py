@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsumugi.llm import sampling
+from tsumugi.llm import near, sampling
 from tsumugi.llm.common import stage, table
+from tsumugi.llm.history import repeats
 from tsumugi.llm.spans import shared_spans
 from tsumugi.llm.text import same_looking_pairs, settle, unify
 from tsumugi.llm.tokenize import encode_corpus
@@ -41,6 +42,15 @@ def p1_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.draw(sampling.requested(sources, requests), stage(report, "p1_report"))
 
 
+def p2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load 0 is the first history; the later deliveries come in two waves, each probing what is there by then."""
+    return repeats(table(spark, sf_dir, "augmented_data"), "aug_id", "load_no", "category", "body", [(0, 0), (1, 11), (12, 2**31 - 1)])
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p2_repeats(spark, sf_dir).select(F.col("id").alias("aug_id"))
+
+
 def p4_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(unify(table(spark, sf_dir, "merged_person_categories"), "row_id", ["title", "body"])).select(F.col("id").alias("row_id"), "field", "stored", "unified")
 
@@ -49,6 +59,34 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_looking_pairs(unify(table(spark, sf_dir, "merged_person_categories"), "row_id", ["title", "body"]))
 
 
+#: The tables of problem 6, in the order of their names, which gives the last bit of an id in both.
+P6_TABLES = {"augmented_data": "aug_id", "merged_person_categories": "row_id"}
+
+
+def _p6(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    parts = [table(spark, sf_dir, name).select((F.col(key) * 2 + k).alias("id"), F.col("body").alias("text")) for k, (name, key) in enumerate(P6_TABLES.items())]
+    return near.near_duplicates(parts[0].unionByName(parts[1]))
+
+
+def _p6_named(prefix: str, of: str) -> list:
+    names = F.array(*[F.lit(n) for n in P6_TABLES])
+    bit = F.pmod(F.col(of), F.lit(2))
+    return [F.element_at(names, (bit + 1).cast("int")).alias(f"table{prefix}"), ((F.col(of) - bit) / 2).cast("long").alias(f"id{prefix}")]
+
+
+def p6_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each record with a body of enough characters, its class of copies, and its group."""
+    members, pairs = _p6(spark, sf_dir)
+    return near.components(members, pairs).select(*_p6_named("", "id"), F.col("rep").alias("class_id"), "group_id")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, pairs = _p6(spark, sf_dir)
+    rank = lambda c: F.struct(F.pmod(F.col(c), F.lit(2)), F.col(c))
+    both = near.expanded(members, pairs).withColumn("x", F.when(rank("a") < rank("b"), F.col("a")).otherwise(F.col("b"))).withColumn("y", F.when(rank("a") < rank("b"), F.col("b")).otherwise(F.col("a")))
+    return both.select(*_p6_named("_a", "x"), *_p6_named("_b", "y"))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
 

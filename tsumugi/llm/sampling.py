@@ -8,6 +8,8 @@ the quota ends, and only rows of one cell are ranked together, so that a stratum
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -113,27 +115,23 @@ def draw(rows: DataFrame, quotas: DataFrame, seed: int = 0) -> DataFrame:
     return kept.withColumn("draw_rank", F.col("before") + F.row_number().over(inner)).where("draw_rank <= allocated").select("request_id", "key", "stratum", F.col("draw_rank").cast("long").alias("draw_rank"))
 
 
+def request_ids(requests: DataFrame, name: str, field: str):
+    """The requests of one table and field as an array in the plan, which multiplies rows without a join."""
+    found = requests.where((F.col("table_name") == name) & (F.col("field") == field) & F.col("request_id").isNotNull()).select(F.col("request_id").cast("long")).distinct().limit(MOST_REQUESTS + 1).collect()
+    if len(found) > MOST_REQUESTS:
+        raise ValueError(f"more than {MOST_REQUESTS} requests of {name}.{field}")
+    return F.explode(F.array(*[F.lit(r[0]) for r in sorted(found)]).cast("array<bigint>")).alias("request_id")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 def requested(sources: dict[tuple[str, str], tuple[DataFrame, str]], requests: DataFrame) -> DataFrame:
     """``request_id, key, stratum`` of all rows each request may draw; ``sources``: by table and field the table and its key."""
-    parts = []
-    for (name, field), (df, key) in sources.items():
-        found = requests.where((F.col("table_name") == name) & (F.col("field") == field) & F.col("request_id").isNotNull()).select(F.col("request_id").cast("long")).distinct().limit(MOST_REQUESTS + 1).collect()
-        if len(found) > MOST_REQUESTS:
-            raise ValueError(f"more than {MOST_REQUESTS} requests of {name}.{field}")
-        ids = F.array(*[F.lit(r[0]) for r in found]).cast("array<bigint>")
-        parts.append(strata_of(df, key, field).select(F.explode(ids).alias("request_id"), "key", "stratum"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return _union([strata_of(df, key, field).select(request_ids(requests, *of), "key", "stratum") for of, (df, key) in sources.items() for field in of[1:]])
 
 
 def available(sources: dict[tuple[str, str], tuple[DataFrame, str]], requests: DataFrame) -> DataFrame:
     """``request_id, stratum, available``: distinct keys of each stratum; each table is counted once, however many requests."""
-    out = None
-    for (name, field), (df, key) in sources.items():
-        counts = strata_of(df, key, field).groupBy("stratum").agg(F.count("*").alias("available"))
-        asked = requests.where((F.col("table_name") == name) & (F.col("field") == field)).select(F.col("request_id").cast("long").alias("request_id"), F.lit(name).alias("of")).dropDuplicates()
-        part = counts.withColumn("of", F.lit(name)).join(asked, "of").select("request_id", "stratum", "available")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return _union([strata_of(df, key, field).groupBy("stratum").agg(F.count("*").alias("available")).select(request_ids(requests, *of), "stratum", "available") for of, (df, key) in sources.items() for field in of[1:]])
