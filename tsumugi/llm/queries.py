@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tsumugi.llm import near, sampling
 from tsumugi.llm.common import stage, table
 from tsumugi.llm.history import repeats
+from tsumugi.llm.leaks import leaks
+from tsumugi.llm.pii import redact
 from tsumugi.llm.spans import shared_spans
 from tsumugi.llm.text import same_looking_pairs, settle, unify
 from tsumugi.llm.tokenize import encode_corpus
@@ -51,6 +53,22 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_repeats(spark, sf_dir).select(F.col("id").alias("aug_id"))
 
 
+P3_TABLES = {"augmented_data": "aug_id", "merged_person_categories": "row_id"}
+
+
+def _p3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [redact(table(spark, sf_dir, name), key, "body").select(F.lit(name).alias("table_name"), "*") for name, key in P3_TABLES.items()]
+    return parts[0].unionByName(parts[1])
+
+
+def p3_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p3(spark, sf_dir).select("table_name", "id", F.col("text").alias("body"), "spans")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p3(spark, sf_dir).select("table_name", "id", F.explode("kinds").alias("kind")).distinct()
+
+
 def p4_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(unify(table(spark, sf_dir, "merged_person_categories"), "row_id", ["title", "body"])).select(F.col("id").alias("row_id"), "field", "stored", "unified")
 
@@ -91,6 +109,14 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text").withColumnsRenamed({"doc": "doc_id", "item": "item_id"})
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_report(spark, sf_dir).where("verbatim").select("doc_id", "item_id")
+
+
 def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared_spans(table(spark, sf_dir, "documents"), "doc_id", "text")
 
