@@ -24,7 +24,7 @@ from tsumugi.llm.common import chunked, only, stage, texts_of
 
 SPAN, TERM, RANK, EXTRA, ROUNDS = 40, 3, 64, 8, 2
 #: A candidate's cosine in the latent space; the verbatim check is cheap, so this is low.
-COSINE = 0.35
+COSINE = 0.5
 #: Candidates this close are checked for a paraphrase: share of the item in its longest common subsequence with the passages around, and of its answers.
 CLOSE, LCS_SHARE, ANSWER_SHARE = 0.85, 0.75, 0.6
 #: Passages the latent space is fitted on, at most about; items of one broadcast.
@@ -86,7 +86,19 @@ class Items:
     def fit(self, frequency: np.ndarray, documents: int, basis: np.ndarray) -> None:
         """Take the space of ``basis`` (terms by rank); weights are idf."""
         self.project = np.concatenate([idf(frequency, documents)[:, None] * basis, np.zeros((1, basis.shape[1]))]).astype(np.float32)
-        self.query = unit(np.array([self.project[w].sum(axis=0) for w in self.windows], np.float32).reshape(-1, basis.shape[1]))
+        query = unit(np.array([self.project[w].sum(axis=0) for w in self.windows], np.float32).reshape(-1, basis.shape[1]))
+        # layers: the first windows of all items, the second ones, and so on; items with fewer repeat their last
+        heads = np.flatnonzero(np.concatenate([[True], self.window_of[1:] != self.window_of[:-1]])) if len(query) else np.empty(0, np.int64)
+        counts = np.diff([*heads, len(query)]) if len(heads) else heads
+        self.with_windows = self.window_of[heads]
+        self.layers = [np.ascontiguousarray(query[heads + np.minimum(k, counts - 1)].T) for k in range(max(counts, default=0))]
+
+    def cosines(self, passages: np.ndarray) -> np.ndarray:
+        """Passages by items with windows: the largest cosine of a passage and a window of the item."""
+        out = passages @ self.layers[0]
+        for layer in self.layers[1:]:
+            np.maximum(out, passages @ layer, out=out)
+        return out
 
 
 def idf(frequency: np.ndarray, documents: int) -> np.ndarray:
@@ -220,18 +232,20 @@ def _search(source: DataFrame, items: Items, paraphrases: bool) -> DataFrame:
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         it = fitted.value
-        heads = np.flatnonzero(np.concatenate([[True], it.window_of[1:] != it.window_of[:-1]])) if len(it.window_of) else np.empty(0, np.int64)
-        item_of = it.window_of[heads]
+        item_of = it.with_windows
         for batch in chunked(batches, ROWS):
             points, offsets = bare_points(texts_of(batch.column(1)))
             starts, owner = blocks_of(offsets)
-            if not len(starts) or not len(heads):
+            if not len(starts) or not len(item_of):
                 continue
-            sums = np.add.reduceat(it.project[position_terms(it, points, offsets)], starts, axis=0)
+            terms = np.append(position_terms(it, points, offsets), np.int32(it.size))
+            at = np.minimum(starts[:, None] + np.arange(SPAN), len(points))
+            at[at >= offsets[owner + 1][:, None]] = len(points)
+            sums = it.project[terms[at]].sum(axis=1)
             two = sums.copy()
             same = owner[1:] == owner[:-1]
             two[:-1][same] += sums[1:][same]
-            cosine = np.maximum.reduceat(unit(two) @ it.query.T, heads, axis=1)
+            cosine = it.cosines(unit(two))
             rows: dict[tuple[int, int], list] = {}
             flagged = np.flatnonzero((cosine >= COSINE).any(axis=1))
             # verbatim stretches that begin in a flagged passage's first block

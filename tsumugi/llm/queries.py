@@ -13,6 +13,7 @@ from tsumugi.llm.history import repeats
 from tsumugi.llm.leaks import leaks
 from tsumugi.llm.pii import redact
 from tsumugi.llm.spans import shared_spans
+from tsumugi.llm.subset import varied_subsets
 from tsumugi.llm.text import same_looking_pairs, settle, unify
 from tsumugi.llm.tokenize import encode_corpus
 
@@ -77,6 +78,11 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_looking_pairs(unify(table(spark, sf_dir, "merged_person_categories"), "row_id", ["title", "body"]))
 
 
+def p5_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = varied_subsets(table(spark, sf_dir, "merged_person_categories"), "row_id", "body", "category", table(spark, sf_dir, "subset_requests"))
+    return found.withColumnRenamed("id", "row_id")
+
+
 #: The tables of problem 6, in the order of their names, which gives the last bit of an id in both.
 P6_TABLES = {"augmented_data": "aug_id", "merged_person_categories": "row_id"}
 
