@@ -19,7 +19,7 @@ from tsumugi.llm.common import chunked, only, stage, texts_of, trimmed
 from tsumugi.llm.sampling import MOST_REQUESTS
 from tsumugi.llm.shingles import compact, text_hashes
 
-PROJECTIONS, LEVELS, BITS = 4, 16, 6
+PROJECTIONS, LEVELS, BITS = 4, 4, 6
 #: Cells with the same upper bits of the key are sorted together; there are so many such ranges.
 RANGES = 4096
 ROWS, SALTS = 500, 64
