@@ -1,22 +1,72 @@
 """Similarity of candidates to the references of their category: n-gram containment and TF-IDF cosine, both exact.
 
-Both are equi-joins on category and gram, with counts per document on both sides; neither refits anything per candidate. Grams are
-64-bit hashes, so that the shuffled rows are three numbers. ``candidates`` has ``id, category, text``, ``references`` the same;
-their texts may be null or empty, categories that are null match nothing. Results have a row for each candidate id.
+Every candidate is held against every reference of its category, in tiles: a block of candidates and a block of references, each
+tile a task of its own, so that a category with a third of all rows is many equal tasks, and only maxima leave a tile. Within a tile
+references are a dense matrix over the grams they have, and a candidate's sparse row picks and sums its lines. Nothing is refitted
+per candidate. ``candidates`` and ``references`` are ``id, category, text``; null texts are empty, null categories match nothing.
+Results have a row for each candidate id.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tsumugi.functions.text import grams
+from tsumugi.functions.codes import term_counts
+
+#: Rows of a tile's sides, about.
+CANDIDATES, REFERENCES = 256, 128
+#: Rows of a vectorised step.
+ROWS = 200
+_SPACE = re.compile(r"\s\s+")
+
+
+def gram_rows(texts: DataFrame, sizes: tuple[int, ...], prepare: Callable[[str], str]) -> DataFrame:
+    """``id, category, g, tf``: hashes and counts of each text's grams, packed; repeats of an id count once."""
+    source = texts.where("category is not null").select(F.col("id").cast("string").alias("id"), "category", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["id"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                found = term_counts([prepare(t) for t in batch.column(2).to_pylist()], sizes)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([g.tobytes() for g, _ in found], pa.binary()), pa.array([n.astype(np.int32).tobytes() for _, n in found], pa.binary())], names=["id", "category", "g", "tf"])
+
+    return source.mapInArrow(run, "id string, category string, g binary, tf binary")
+
 
+def tiles(candidates: DataFrame, references: DataFrame, tile: Callable[[tuple, pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """Apply ``tile`` to each block of candidates and each block of references of the same category."""
+    blocks = lambda df, name, size: df.groupBy("category").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
+    plan = blocks(candidates.select("category"), "nc", CANDIDATES).join(blocks(references.select("category"), "nr", REFERENCES), "category")
+    place = lambda n: F.pmod(F.xxhash64("id"), F.col(n).cast("long")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = candidates.join(plan, "category").withColumn("i", place("nc")).withColumn("j", every("nr")).drop("nc", "nr")
+    right = references.join(plan, "category").withColumn("j", place("nr")).withColumn("i", every("nc")).drop("nc", "nr")
+    key = ["category", "i", "j"]
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(tile, schema)
 
-def term_counts(texts: DataFrame, col: Column, sizes: tuple[int, ...]) -> DataFrame:
-    """``id, category, g, tf``: grams of each text with their number; one text's grams are counted before anything moves."""
-    terms = F.concat(*[grams(col, n) for n in sizes])
-    return texts.where("category is not null").select("id", "category", F.explode(F.transform(terms, lambda t: F.xxhash64(t))).alias("g")).groupBy("id", "category", "g").agg(F.count("*").alias("tf"))
+
+def _packed(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
+    return [np.frombuffer(b, kind) for b in column.to_pylist()]
+
+
+def _vocabulary(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All grams of the block, the place of each of its entries in them, and the row of each entry."""
+    vocabulary, place = np.unique(np.concatenate(grams), return_inverse=True)
+    return vocabulary, place, np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+
+
+def _hits(vocabulary: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries of ``g`` the vocabulary has, and where."""
+    at = np.minimum(np.searchsorted(vocabulary, g), max(0, len(vocabulary) - 1))
+    ok = vocabulary[at] == g if len(vocabulary) else np.zeros(len(g), bool)
+    return ok, at[ok]
 
 
 def overlaps(candidates: DataFrame, references: DataFrame, n: int = 4) -> DataFrame:
@@ -24,41 +74,103 @@ def overlaps(candidates: DataFrame, references: DataFrame, n: int = 4) -> DataFr
 
     Spaces and line feeds are left out. 0 where there are no references or no grams. Long texts are compared whole.
     """
-    squeezed = F.regexp_replace("text", "[ \n]", "")
+    squeeze = lambda t: t.replace(" ", "").replace("\n", "")
 
-    def sets(df: DataFrame) -> DataFrame:
-        made = df.where("category is not null").select("id", "category", F.array_distinct(F.transform(grams(squeezed, n), lambda t: F.xxhash64(t))).alias("set"))
-        return made
+    def tile(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        best = np.zeros(left.num_rows)
+        if left.num_rows and right.num_rows:
+            vocabulary, place, owner = _vocabulary(_packed(right["g"], "int64"))
+            has = np.zeros((len(vocabulary), right.num_rows), np.float32)
+            has[place, owner] = 1
+            for k, g in enumerate(_packed(left["g"], "int64")):
+                _, at = _hits(vocabulary, g)
+                best[k] = int(has[at].sum(axis=0).max()) / len(g) if len(at) else 0.0
+        return pa.table({"id": left["id"], "v": pa.array(best)})
 
-    own = sets(candidates)
-    left = own.select("id", "category", F.size("set").alias("size"), F.explode("set").alias("g"))
-    right = sets(references).select(F.col("id").alias("ref"), "category", F.explode("set").alias("g"))
-    both = left.join(right, ["category", "g"]).groupBy("id", "size", "ref").agg(F.count("*").alias("c"))
-    best = both.groupBy("id").agg(F.max(F.col("c") / F.col("size")).alias("overlap"))
-    return candidates.select("id").distinct().join(best, "id", "left").select("id", F.coalesce("overlap", F.lit(0.0)).alias("overlap"))
+    made = tiles(gram_rows(candidates, (n,), squeeze), gram_rows(references, (n,), squeeze), tile, "id string, v double")
+    best = made.groupBy("id").agg(F.max("v").alias("overlap"))
+    return _every(candidates, best, "overlap")
 
 
 def cosines(candidates: DataFrame, references: DataFrame, sizes: tuple[int, int] = (2, 3)) -> DataFrame:
     """``id, cosine``: the largest cosine of a candidate and a reference of its category in TF-IDF space.
 
     The space is that of the candidate and all references of its category: smooth idf, raw counts, Euclidean norm; lower case,
-    runs of white space as one space. As only one document changes from candidate to candidate, the idf of a gram has two values, with
-    and without the candidate, and a reference's norm is its own plus a correction over the grams it shares. 0 without references.
+    runs of white space as one space. As only one document changes from candidate to candidate, the idf of a gram has two values,
+    with and without the candidate, and a reference's norm is its own plus a correction over the grams it shares. 0 without
+    references.
+    """
+    spread, fold = tuple(range(sizes[0], sizes[1] + 1)), lambda t: _SPACE.sub(" ", t).lower()
+    other = gram_rows(references, spread, fold)
+    counted = _with_frequencies(other)
+
+    def tile(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        best, more, whole = np.zeros(left.num_rows), np.zeros(left.num_rows), np.full(left.num_rows, np.nan)
+        if left.num_rows and right.num_rows:
+            docs = right["docs"][0].as_py()
+            weight = lambda df, more: (np.log((2 + docs) / (1 + df + more)) + 1) ** 2
+            vocabulary, place, owner = _vocabulary(_packed(right["g"], "int64"))
+            tf = np.concatenate(_packed(right["tf"], "int32")).astype(float)
+            df, home = np.zeros(len(vocabulary)), np.zeros(len(vocabulary), bool)
+            packed = np.concatenate(_packed(right["df"], "int64"))
+            df[place] = np.abs(packed)
+            home[place[packed < 0]] = True  # the one reference whose tile counts the gram in candidates' norms
+            w1, w0, alone = weight(df, 1), weight(df, 0), weight(0.0, 1)
+            dot, change = np.zeros((len(vocabulary), right.num_rows)), np.zeros((len(vocabulary), right.num_rows))
+            dot[place, owner] = tf
+            change[place, owner] = tf * tf * (w1 - w0)[place]
+            base = np.bincount(owner, tf * tf * w0[place], right.num_rows)
+            extra = np.where(home, w1 - alone, 0.0)
+            for k, (g, n) in enumerate(zip(_packed(left["g"], "int64"), _packed(left["tf"], "int32"))):
+                ok, at = _hits(vocabulary, g)
+                m = n[ok].astype(float)
+                if len(at):
+                    best[k] = np.max((m * w1[at]) @ dot[at] / np.sqrt(np.maximum(base + change[at].sum(axis=0), 1e-300)))
+                more[k] = (m * m) @ extra[at]
+                whole[k] = alone * float((n.astype(float) ** 2).sum())
+        return pa.table({"id": left["id"], "best": pa.array(best), "more": pa.array(more), "whole": pa.array(whole, mask=np.isnan(whole))})
+
+    # the squared norm of a candidate: all its grams as if no reference had them, and corrections from the grams' homes
+    made = tiles(gram_rows(candidates, spread, fold), counted, tile, "id string, best double, more double, whole double")
+    norm = F.sum("more") + F.max("whole")
+    best = made.groupBy("id").agg(F.when(norm > 0, F.max("best") / F.sqrt(norm)).otherwise(0.0).alias("cosine"))
+    return _every(candidates, best, "cosine")
+
+
+def _with_frequencies(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``docs``, the references of the category, and ``df``, packed: in how many each gram occurs, negative in its home.
+
+    A gram's home is the least reference that has it.
     """
-    text, spread = F.lower(F.regexp_replace("text", r"(?U)\s\s+", " ")), tuple(range(sizes[0], sizes[1] + 1))
-    own, other = term_counts(candidates, text, spread), term_counts(references, text, spread)
-    documents = references.where("category is not null").groupBy("category").agg(F.countDistinct("id").alias("docs"))
-    frequency = other.groupBy("category", "g").agg(F.count("*").alias("df"))
-    weight = lambda more: F.log((F.lit(2) + F.col("docs")) / (F.lit(1) + F.col("df") + F.lit(more))) + 1
-    with_, without = F.pow(weight(1), 2), F.pow(weight(0), 2)
-    weighed = other.join(frequency, ["category", "g"]).join(documents, "category").select(F.col("id").alias("ref"), "category", "g", F.col("tf").alias("rtf"), with_.alias("w1"), without.alias("w0"))
-    base = weighed.groupBy("category", "ref").agg(F.sum(F.col("rtf") * F.col("rtf") * F.col("w0")).alias("base"))
-    rare = own.join(documents, "category").join(frequency, ["category", "g"], "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    norms = rare.groupBy("category", "id").agg(F.sum(F.col("tf") * F.col("tf") * with_).alias("norm"))
-    shared = own.join(weighed, ["category", "g"]).groupBy("category", "id", "ref").agg(F.sum(F.col("tf") * F.col("rtf") * F.col("w1")).alias("dot"), F.sum(F.col("rtf") * F.col("rtf") * (F.col("w1") - F.col("w0"))).alias("change"))
-    scored = shared.join(base, ["category", "ref"]).join(norms, ["category", "id"]).select("id", (F.col("dot") / F.sqrt(F.col("norm")) / F.sqrt(F.col("base") + F.col("change"))).alias("s"))
-    best = scored.groupBy("id").agg(F.max("s").alias("cosine"))
-    return candidates.select("id").distinct().join(best, "id", "left").select("id", F.coalesce("cosine", F.lit(0.0)).alias("cosine"))
+
+    def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = _packed(pa.chunked_array([batch.column(2)]), "int64")
+            at = pa.array(np.repeat(np.arange(len(grams)), [len(g) for g in grams]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(grams) if grams else np.empty(0, np.int64))], names=["r", "c", "x"])
+
+    numbered = rows.withColumn("r", F.xxhash64("id"))  # numbers shuffle lighter than ids and labels
+    long = numbered.select("r", F.xxhash64("category").alias("c"), "g").mapInArrow(unpack, "r long, c long, x long")
+    frequency = long.groupBy("c", "x").agg(F.count("*").alias("df"), F.min("r").alias("home"))
+    signed = long.join(frequency, ["c", "x"]).select("r", "x", F.when(F.col("r") == F.col("home"), -F.col("df")).otherwise(F.col("df")).alias("df"))
+    lists = signed.groupBy("r").agg(F.collect_list(F.struct("x", "df")).alias("dfs"))  # bounded by one text
+    docs = rows.groupBy("category").agg(F.count("*").alias("docs"))
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(4)
+            x, df = (lists.flatten().field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
+            ends = np.concatenate([[0], np.cumsum(np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))])
+            packed = [df[a:b][np.argsort(x[a:b])].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(packed, pa.binary()), batch.column(5)], names=["id", "category", "g", "tf", "df", "docs"])
+
+    joined = numbered.join(lists, "r", "left").join(docs, "category").select("id", "category", "g", "tf", "dfs", "docs")
+    return joined.mapInArrow(pack, "id string, category string, g binary, tf binary, df binary, docs long")
+
+
+def _every(candidates: DataFrame, best: DataFrame, name: str) -> DataFrame:
+    ids = candidates.select("id").distinct()
+    return ids.join(best.withColumnRenamed("id", "_id"), F.col("id").cast("string") == F.col("_id"), "left").select("id", F.coalesce(name, F.lit(0.0)).alias(name))
 
 
 def cosine(a: Column, b: Column) -> Column:
