@@ -41,7 +41,7 @@ def compact(text: str) -> str:
 
 
 def samples(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Minwise sample (rows by ``SAMPLE``), set size (number of positions) and two hashes of each compacted text.
+    """Minwise sample (rows by ``SAMPLE``), set size and two hashes of each compacted text.
 
     Texts shorter than a gram have a sample of zeros and size 0.
     """
@@ -58,6 +58,9 @@ def samples(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for k, a in enumerate(design()[0]):
             np.multiply(values, a, out=room)
             out[full, k] = np.minimum.reduceat(room, starts)
+        keys = np.sort(np.repeat(full.astype(np.uint64), sizes[full]) << np.uint64(32) | values)
+        first = np.concatenate([[True], keys[1:] != keys[:-1]])
+        sizes = np.bincount((keys[first] >> np.uint64(32)).astype(np.int64), minlength=len(texts))
     return out, sizes, text_hashes(texts)
 
 
@@ -94,9 +97,9 @@ def jaccard(a: frozenset, b: frozenset) -> float:
 
 
 def plausible(print_a: Column, print_b: Column, size_a: Column, size_b: Column) -> Column:
-    """Whether the prints and sizes allow a similarity of the threshold (sizes count repeated grams, hence the slack)."""
+    """Whether the prints and sizes allow a similarity of the threshold (sizes are of hashed grams, hence a little slack)."""
     small, large = F.least(size_a, size_b), F.greatest(size_a, size_b)
-    return (F.bit_count(print_a.bitwiseXOR(print_b)) <= PRINT_BITS) & (small >= large * 0.5)
+    return (F.bit_count(print_a.bitwiseXOR(print_b)) <= PRINT_BITS) & (small >= large * (THRESHOLD - 0.02))
 
 
 def verified(pairs: DataFrame, bodies: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
