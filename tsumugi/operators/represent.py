@@ -102,6 +102,8 @@ def representatives(rows: DataFrame, limit: float = 0.90, seed: int = 42, large:
     """
     rows = rows.where("category is not null").select("category", "row_id", "vector").dropDuplicates(["row_id"])
     sizes = rows.groupBy("category").agg(F.count("*").alias("n"))
+    few = rows.join(sizes.where("n <= 3"), "category").select("category", "row_id", (F.row_number().over(Window.partitionBy("category").orderBy("row_id")) - 1).alias("rep_rank"))
+    rows, sizes = rows.join(sizes.where("n > 3").select("category"), "category"), sizes.where("n > 3")
     # a share by hash, so that no task ever sees more than about ``large`` rows of a category
     share = F.least(F.lit(1.0), F.lit(float(large)) / F.col("n"))
     fit = rows.join(sizes, "category").where((F.pmod(F.xxhash64("row_id"), F.lit(1 << 20)) / float(1 << 20) < share) | (F.col("n") <= large))
@@ -109,8 +111,7 @@ def representatives(rows: DataFrame, limit: float = 0.90, seed: int = 42, large:
     def centres(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row_id")
         x, n = np.array(pdf.vector.tolist(), float), int(pdf.n.iloc[0])
-        k = k_for(n)
-        labels = np.arange(len(x)) if k == n else kmeans(x, min(k, len(x)), seed)
+        labels = kmeans(x, min(k_for(n), len(x)), seed)
         return pd.DataFrame({"category": pdf.category.iloc[0], "cluster": sorted(set(labels.tolist())), "centre": [x[labels == j].mean(0).tolist() for j in sorted(set(labels.tolist()))]})
 
     middle = fit.groupBy("category").applyInPandas(centres, "category string, cluster int, centre array<double>")
@@ -121,10 +122,10 @@ def representatives(rows: DataFrame, limit: float = 0.90, seed: int = 42, large:
 
     def thin(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("cluster")
-        keep = pdf if int(pdf.n.iloc[0]) <= 3 else pdf[mutual_filter(np.array(pdf.vector.tolist(), float), limit)]
+        keep = pdf[mutual_filter(np.array(pdf.vector.tolist(), float), limit)]
         return pd.DataFrame({"category": keep.category, "row_id": keep.row_id, "rep_rank": np.arange(len(keep), dtype=np.int32)})
 
-    return best.join(sizes, "category").groupBy("category").applyInPandas(thin, "category string, row_id long, rep_rank int")
+    return few.unionByName(best.groupBy("category").applyInPandas(thin, "category string, row_id long, rep_rank int"))
 
 
 def pairwise(rows: DataFrame) -> DataFrame:
