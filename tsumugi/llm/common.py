@@ -36,7 +36,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete staged tables from which everything has been written on; none of it can be needed again, whatever executor is lost."""
+    for df in tables:
+        remove(df.sparkSession, df._staged_at)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tsumugi.llm import sketch
-from tsumugi.llm.common import stage
+from tsumugi.llm.common import stage, unstage
 from tsumugi.llm.shingles import SUBSETS, plausible, prints, sample_array, signed, subset_keys, verified
 
 #: Lists up to this are never split.
@@ -48,7 +48,7 @@ def class_pairs(classes: DataFrame) -> DataFrame:
     lists = posted.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
     work = lists.agg(F.sum(F.col("n") * F.col("n") / 2)).first()[0] or 0.0
     boundary = int(max(LEAST_BOUNDARY, (2 * work / max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))) ** 0.5))
-    lists = stage(lists, "lists")
+    lists = stage(lists, "lists")  # both are deleted below
 
     def meet(rows: DataFrame, on: list[str]) -> DataFrame:
         other = rows.select(*on, F.col("id").alias("b"), F.col("p").alias("pb"), F.col("size").alias("sb"))
@@ -60,7 +60,9 @@ def class_pairs(classes: DataFrame) -> DataFrame:
     tiles = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
     left, right = tiles.where("own = x"), tiles.where("own = y").select("k", "x", "y", F.col("id").alias("b"), F.col("p").alias("pb"), F.col("size").alias("sb"))
     heavy = left.join(right, ["k", "x", "y"]).where((F.col("id") != F.col("b")) & plausible(F.col("p"), F.col("pb"), F.col("size"), F.col("sb"))).select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b"))
-    return light.unionByName(heavy).distinct()
+    pairs = stage(light.unionByName(heavy).distinct(), "pairs")
+    unstage(posted, lists)
+    return pairs
 
 
 def near_duplicates(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -76,8 +78,13 @@ def near_duplicates(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = stage(members.join(least, ["h1", "h2"]).select("id", "rep"), "members")
     copies = members.where("id <> rep").select("id")
     classes = records.join(copies, "id", "left_anti").dropDuplicates(["id"])
-    pairs = stage(class_pairs(stage(classes, "classes")), "pairs")
-    return members, stage(verified(pairs, bodies), "similar")
+    classes = stage(classes, "classes")
+    unstage(records)
+    pairs = class_pairs(classes)
+    unstage(classes)
+    similar = stage(verified(pairs, bodies), "similar")
+    unstage(pairs)
+    return members, similar
 
 
 def expanded(members: DataFrame, pairs: DataFrame) -> DataFrame:
