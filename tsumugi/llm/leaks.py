@@ -26,10 +26,11 @@ SPAN, TERM, RANK, EXTRA, ROUNDS = 40, 3, 64, 8, 2
 #: A candidate's cosine in the latent space; the verbatim check is cheap, so this is low.
 COSINE = 0.5
 #: Candidates this close are checked for a paraphrase: share of the item in its longest common subsequence with the passages around, and of its answers.
-CLOSE, LCS_SHARE, ANSWER_SHARE = 0.85, 0.75, 0.6
+CLOSE, LCS_SHARE, ANSWER_SHARE = 0.7, 0.75, 0.6
 #: Passages the latent space is fitted on, at most about; items of one broadcast.
 FIT_PASSAGES, ITEM_BLOCK, SLOTS = 20_000, 2000, 1 << 20
 ROWS = 100
+FOUND = "doc long, item long, cosine double, lcs_share double, answer_share double, verbatim boolean"
 
 
 @lru_cache(1)
@@ -200,6 +201,8 @@ def lcs_length(a: str, b: str) -> int:
 
 
 def _search(source: DataFrame, items: Items, paraphrases: bool) -> DataFrame:
+    if not items.windows:
+        return source.sparkSession.createDataFrame([], FOUND)
     sc = source.sparkSession.sparkContext
     chars = source.agg(F.sum(F.length("text"))).first()[0] or 0
     rate = min(1.0, FIT_PASSAGES * SPAN / max(1, chars))
@@ -283,7 +286,7 @@ def _search(source: DataFrame, items: Items, paraphrases: bool) -> DataFrame:
                 keys, values = [*rows], [*rows.values()]
                 yield pa.RecordBatch.from_arrays([pa.array(docs[[d for d, _ in keys]]), pa.array(it.ids[[i for _, i in keys]]), *(pa.array([v[c] for v in values]) for c in range(4))], names=["doc", "item", "cosine", "lcs_share", "answer_share", "verbatim"])
 
-    return source.mapInArrow(search, "doc long, item long, cosine double, lcs_share double, answer_share double, verbatim boolean")
+    return source.mapInArrow(search, FOUND)
 
 
 def leaks(documents: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_id: str, item_text: str, paraphrases: bool = True) -> DataFrame:
