@@ -84,6 +84,19 @@ def test_repeats_of_earlier_loads(spark, waves):
     assert all(load[r["first_id"]] < load[r["id"]] for r in found)
 
 
+def test_an_index_opened_again_knows_its_history(spark, tmp_path):
+    texts = bodies(6, 8)
+    rows = [(i, i // 20, "a", t) for i, t in enumerate([*texts, texts[0], texts[9][:-3] + "終わり"])]
+    df = spark.createDataFrame(rows, "id bigint, load int, category string, text string")
+    folder, found = f"file://{tmp_path}/index", []
+    for load in range(3):
+        index = history.History(spark, buckets=3, folder=folder)
+        found += [r["id"] for r in index.take(df.where(df["load"] == load), df.where(df["load"] <= load)).collect()]
+        index.close()
+    assert sorted(found) == sorted(r["id"] for r in history.repeats(df, "id", "load", "category", "text", [(0, 0), (1, 2)], buckets=3).collect())
+    assert len(texts) in found
+
+
 def test_history_of_nothing(spark):
     df = spark.createDataFrame([], "aug_id bigint, load_no int, category string, body string")
     assert history.repeats(df, "aug_id", "load_no", "category", "body", [(0, 0), (1, 9)]).count() == 0

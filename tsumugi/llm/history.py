@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsumugi.llm.common import new_folder, only, stage
+from tsumugi.llm.common import exists, new_folder, only, remove, stage, unstage
 from tsumugi.llm.shingles import plausible, prints, sample_array, signed, subset_keys, verified
 
 
@@ -26,16 +26,35 @@ class History:
     at once. Rows with null category or body, and bodies too short, are never repeats and aren't indexed.
     """
 
+    #: Columns, and those that place a row in its bucket.
+    KEYS = ("k bigint, id bigint, load int, size int, p bigint", ["k"])
+    TEXTS = ("salt bigint, h1 bigint, h2 bigint, load int, id bigint", ["salt", "h1", "h2"])
+
     def __init__(self, spark: SparkSession, buckets: int = 64, folder: str | None = None) -> None:
+        """Open the index in ``folder``, a folder all executors share; a new one where there is none or ``folder`` isn't given.
+
+        An index is opened with the number of buckets it was made with.
+        """
         self.spark, self.buckets = spark, buckets
         self.folder = folder or new_folder(spark, "history")
         self.keys, self.texts = (f"tsumugi_{kind}_{uuid.uuid4().hex}" for kind in ("keys", "texts"))
-        self.empty = True
-
-    def _append(self, df: DataFrame, name: str, by: list[str]) -> DataFrame:
+        self.empty = not exists(spark, f"{self.folder}/keys")
+        if not self.empty:
+            for name, kind, (columns, by) in ((self.keys, "keys", self.KEYS), (self.texts, "texts", self.TEXTS)):
+                by = ", ".join(by)
+                spark.sql(f"create table {name} ({columns}) using parquet clustered by ({by}) sorted by ({by}) into {buckets} buckets location '{self.folder}/{kind}'")
+
+    def close(self, delete: bool = False) -> None:
+        """Forget the tables; their files stay for the next time unless they are to be deleted."""
+        for name in (self.keys, self.texts):
+            self.spark.sql(f"drop table if exists {name}")
+        if delete:
+            remove(self.spark, self.folder)
+
+    def _append(self, df: DataFrame, name: str, kind: str, by: list[str]) -> DataFrame:
         """Append to a bucketed table; one file a bucket and batch, rows sorted by key within."""
         writer = df.repartition(self.buckets, *by).write.mode("append").format("parquet").bucketBy(self.buckets, *by).sortBy(*by)
-        writer.option("path", f"{self.folder}/{name}").saveAsTable(name)
+        writer.option("path", f"{self.folder}/{kind}").saveAsTable(name)
         return self.spark.table(name)
 
     def take(self, batch: DataFrame, bodies: DataFrame) -> DataFrame:
@@ -56,9 +75,9 @@ class History:
             earliest = earliest.withColumn("new", F.lit(True))
         earliest = stage(earliest.select(*text_key, F.col("first.load").alias("load"), F.col("first.id").alias("id"), "new"), "earliest")
         fresh = earliest.where("new")
-        self._append(fresh.select(*text_key, "load", "id"), self.texts, text_key)
+        self._append(fresh.select(*text_key, "load", "id"), self.texts, "texts", text_key)
         classes = records.join(fresh.select("id"), "id", "left_semi").dropDuplicates(["id"])
-        index = self._append(self._keys(classes), self.keys, ["k"])
+        index = self._append(self._keys(classes), self.keys, "keys", ["k"])
         self.empty = False
         loads = batch.agg(F.min("load"), F.max("load")).first()
         similar = self._similar(index, loads, bodies)
@@ -68,7 +87,9 @@ class History:
         own = owner.where("rep_load < load").select("id", F.col("rep_load").alias("l"), F.col("rep").alias("first_id"), F.lit(1.0).alias("similarity"))
         other = owner.join(near, "rep").where("near_load < load").select("id", F.col("near_load").alias("l"), F.col("near_id").alias("first_id"), "similarity")
         best = own.unionByName(other).groupBy("id").agg(F.min(F.struct("l", "first_id", "similarity")).alias("best"))
-        return best.select("id", F.col("best.first_id").alias("first_id"), F.col("best.similarity").alias("similarity"))
+        out = stage(best.select("id", F.col("best.first_id").alias("first_id"), F.col("best.similarity").alias("similarity")), "repeats")
+        unstage(records, earliest, similar)
+        return out
 
     def _keys(self, classes: DataFrame) -> DataFrame:
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +117,9 @@ class History:
         second = rest.join(other, "k").where(ok).select(F.col("id").alias("a"), "b", F.col("lb").alias("near_load")).distinct()
         second = stage(second.join(first, ["a", "b"], "left_anti"), "candidates")
         late = stage(verified(second.select("a", "b"), bodies), "found")
-        return found.join(first, ["a", "b"]).unionByName(late.join(second, ["a", "b"])).select("a", "b", "near_load", "similarity")
+        similar = stage(found.join(first, ["a", "b"]).unionByName(late.join(second, ["a", "b"])).select("a", "b", "near_load", "similarity"), "similar")
+        unstage(first, found, second, late)
+        return similar
 
 
 def repeats(samples: DataFrame, id_col: str, load_col: str, category_col: str, text_col: str, waves: list[tuple[int, int]], buckets: int = 64) -> DataFrame:
@@ -111,6 +134,7 @@ def repeats(samples: DataFrame, id_col: str, load_col: str, category_col: str, t
         batch = rows.where(F.col("load").between(first, last))
         if batch.isEmpty():
             continue
-        part = stage(index.take(batch, rows.where(F.col("load") <= last)), "repeats")
+        part = index.take(batch, rows.where(F.col("load") <= last))
         out = part if out is None else out.unionByName(part)
+    index.close(delete=True)  # what was found is written
     return out if out is not None else spark.createDataFrame([], "id long, first_id long, similarity double")
