@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsumugi.llm.common import only
+from tsumugi.llm.common import only, stage
 
 # Letters of the same shape, by script (Latin, Greek, Cyrillic; katakana, kanji, hiragana).
 LATIN_GREEK = dict(zip("ABEHIKMNOPTXYZovyx", "ΑΒΕΗΙΚΜΝΟΡΤΧΥΖονγχ"))
@@ -146,7 +146,8 @@ def unify(df: DataFrame, id_col: str, text_cols: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(sorted({p for w in words if not repairs(w) for p in parts(w)}), pa.string())], names=["word"])
 
     kind = source.schema["id"].dataType.simpleString()
-    based = long.mapInArrow(first, f"id {kind}, field string, stored string, base string, wanted array<string>").where("base <> ''")
+    # written once, as three plans read it
+    based = stage(long.mapInArrow(first, f"id {kind}, field string, stored string, base string, wanted array<string>").where("base <> ''"), "plain_texts")
     words = based.select("base").mapInArrow(vocabulary, "word string").distinct()
     asked = based.where("size(wanted) > 0").select("id", "field", "stored", F.explode("wanted").alias("word"))
     known = asked.join(words, "word", "left_semi").groupBy("id", "field", "stored").agg(F.collect_set("word").alias("known"))  # bounded by one text
