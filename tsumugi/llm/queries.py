@@ -18,7 +18,7 @@ from tsumugi.llm.text import same_looking_pairs, settle, unify
 from tsumugi.llm.tokenize import encode_corpus
 
 
-def p1_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The category tree of the requests: category under its first allowed style under that style's tone; style under its tone."""
     preset = table(spark, sf_dir, "style_preset").select("name", "tone")
     first = table(spark, sf_dir, "allowed_style").groupBy("category").agg(F.min_by("style", "pos").alias("name"))
@@ -28,7 +28,7 @@ def p1_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _p1(spark: SparkSession, sf_dir: str) -> tuple[dict, DataFrame, DataFrame]:
     sources = {("merged_person_categories", "category"): (table(spark, sf_dir, "merged_person_categories"), "row_id"), ("augmented_data", "prompt_style"): (table(spark, sf_dir, "augmented_data"), "aug_id")}
     requests = table(spark, sf_dir, "sample_requests")
-    report = sampling.sampling_report(sampling.available(sources, requests), requests, table(spark, sf_dir, "sample_targets"), p1_tree(spark, sf_dir))
+    report = sampling.sampling_report(sampling.available(sources, requests), requests, table(spark, sf_dir, "sample_targets"), _tree(spark, sf_dir))
     return sources, requests, report
 
 
