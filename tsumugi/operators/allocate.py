@@ -9,15 +9,21 @@ from pyspark.sql import functions as F
 MOST_STYLES = 1000
 
 
+def few(rows: DataFrame) -> list:
+    """All rows of a small table of styles, by ``pos``."""
+    found = rows.orderBy("pos").limit(MOST_STYLES + 1).collect()
+    if len(found) > MOST_STYLES:
+        raise ValueError(f"more than {MOST_STYLES} styles")
+    return found
+
+
 def style_matrix(needs: DataFrame, styles: DataFrame, allowed: DataFrame | None = None, most: int = 5, least: int = 5) -> DataFrame:
     """``category, style, style_pos, needed``: each category's deficit over its first allowed styles.
 
     The number of styles is the deficit over ``least``, at most ``most`` and the styles allowed, at least one; each gets the same,
     the first ones one more for the remainder. A category without rows in ``allowed`` allows all styles. Nothing for no deficit.
     """
-    listed = styles.select("pos", "name").orderBy("pos").limit(MOST_STYLES + 1).collect()
-    if len(listed) > MOST_STYLES:
-        raise ValueError(f"more than {MOST_STYLES} styles")
+    listed = few(styles.select("pos", "name"))
     every = F.array(*[F.struct(F.lit(r["pos"]).cast("int").alias("pos"), F.lit(r["name"]).alias("style")) for r in listed]).cast("array<struct<pos:int,style:string>>")
     options = needs.where("needed > 0")
     if allowed is None:

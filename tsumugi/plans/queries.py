@@ -91,8 +91,8 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def style_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The overall allotment of the total deficit over all styles."""
-    limits = [(r["style"], r["share_limit"]) for r in table(spark, sf_dir, "style_limit").orderBy("pos").limit(allocate.MOST_STYLES).collect()]
-    presets = [r["name"] for r in table(spark, sf_dir, "style_preset").orderBy("pos").limit(allocate.MOST_STYLES).collect()]
+    limits = [(r["style"], r["share_limit"]) for r in allocate.few(table(spark, sf_dir, "style_limit"))]
+    presets = [r["name"] for r in allocate.few(table(spark, sf_dir, "style_preset"))]
     t = corpus_totals(spark, sf_dir).first()
     made = allocate.style_allocation(limits, presets, t["total_needed"], t["categories"])
     return spark.createDataFrame(list(made.items()), "style string, samples bigint")
