@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from tsumugi.llm import leaks
-from tsumugi.llm.leaks import bare, lcs_length
+from tsumugi.llm.leaks import bare, common_length, places
 
 WORDS = "増資 計画 委員会 見通し 工場 設備 更新 価格 改定 見送り 採用 拡大 費用 負担 割合 進め方 手順書 達成度 公表 質問".split()
 
@@ -82,4 +82,4 @@ def test_lcs():
         for i, x in enumerate(a):
             for j, y in enumerate(b):
                 t[i + 1, j + 1] = t[i, j] + 1 if x == y else max(t[i, j + 1], t[i + 1, j])
-        assert lcs_length(a, b) == t[-1, -1]
+        assert common_length(places(a), len(a), b) == t[-1, -1]

@@ -78,6 +78,7 @@ class Items:
         self.verbatim, self.verbatim_of = both[0][order], both[1][order]
         self.window_of = np.array(window_of, np.int64)
         self.windows = [self.terms_of(grams[a:b]) for a, b in windows]
+        self.found_by = None
         self.answers = [frozenset(re.findall(r"[0-9]{3,}|[a-z]{4,}[0-9]*|[ァ-ヺー]{4,}", t)) for t in self.texts]
 
     def terms_of(self, grams: np.ndarray) -> np.ndarray:
@@ -94,6 +95,30 @@ class Items:
         self.with_windows = self.window_of[heads]
         self.layers = [np.ascontiguousarray(query[heads + np.minimum(k, counts - 1)].T) for k in range(max(counts, default=0))]
 
+    def answered(self, texts: list[str]) -> np.ndarray:
+        """Texts by items with windows: whether a text has enough of the item's answers, by one pass of an automaton over each."""
+        if self.found_by is None:
+            import ahocorasick
+
+            words = sorted({a for answers in self.answers for a in answers})
+            number = {a: k for k, a in enumerate(words)}
+            share = np.zeros((len(words), len(self.with_windows)), np.float32)
+            for column, item in enumerate(self.with_windows):
+                for a in self.answers[item]:
+                    share[number[a], column] = 1 / len(self.answers[item])
+            automaton = ahocorasick.Automaton()
+            for a, k in number.items():
+                automaton.add_word(a, k)
+            automaton.make_automaton()
+            free = np.array([0.0 if self.answers[item] else 1.0 for item in self.with_windows], np.float32)
+            self.found_by = (automaton if words else None, share, free)
+        automaton, share, free = self.found_by
+        has = np.zeros((len(texts), len(share)), np.float32)
+        for k, text in enumerate(texts if automaton else ()):
+            if at := {x for _, x in automaton.iter(text)}:
+                has[k, [*at]] = 1
+        return has @ share + free >= ANSWER_SHARE - 1e-3
+
     def cosines(self, passages: np.ndarray) -> np.ndarray:
         """Passages by items with windows: the largest cosine of a passage and a window of the item."""
         out = passages @ self.layers[0]
@@ -188,16 +213,22 @@ def latent_basis(sample: DataFrame, items: Items, frequency: np.ndarray, documen
     return basis[:, :RANK]
 
 
-def lcs_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence, bit-parallel."""
+def places(text: str) -> dict[str, int]:
+    """Where each character of ``text`` stands, as bits."""
     where: dict[str, int] = {}
-    for i, c in enumerate(a):
+    for i, c in enumerate(text):
         where[c] = where.get(c, 0) | 1 << i
-    full, row = (1 << len(a)) - 1, (1 << len(a)) - 1
-    for c in b:
-        hit = row & where.get(c, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
+    return where
+
+
+def common_length(where: dict[str, int], length: int, other: str) -> int:
+    """Length of the longest common subsequence of a text, given by its ``places`` and length, and ``other``; bit-parallel."""
+    row = full = (1 << length) - 1
+    for c in other:
+        if c in where:
+            hit = row & where[c]
+            row = ((row + hit) | (row - hit)) & full
+    return length - row.bit_count()
 
 
 def _search(source: DataFrame, items: Items, paraphrases: bool) -> DataFrame:
@@ -266,19 +297,25 @@ def _search(source: DataFrame, items: Items, paraphrases: bool) -> DataFrame:
                             old = rows.get((int(owner[block[k]]), item))
                             rows[int(owner[block[k]]), item] = [max(c, old[0]) if old else c, 1.0, 1.0, True]
             if paraphrases:
-                last, near = -1, ""
-                for block_, column in zip(*(x.tolist() for x in np.nonzero(cosine >= CLOSE))):
+                close = cosine >= CLOSE
+                whole = points.tobytes().decode("utf-32-le", "surrogatepass")
+                close_docs = np.unique(owner[close.any(axis=1)])
+                enough = np.zeros((batch.num_rows, len(item_of)), bool)
+                enough[close_docs] = it.answered([whole[offsets[d] : offsets[d + 1]] for d in close_docs])
+                last, near, shapes = -1, "", None
+                # a document that lacks an item's answers lacks them in each passage; these settle most pairs
+                for block_, column in zip(*(x.tolist() for x in np.nonzero(close & enough[owner]))):
                     doc, item = int(owner[block_]), int(item_of[column])
                     if block_ != last:
                         a, b = max(offsets[doc], starts[block_] - 2 * SPAN), min(offsets[doc + 1], starts[block_] + 4 * SPAN)
-                        last, near = block_, points[a:b].tobytes().decode("utf-32-le", "surrogatepass")
-                    # answers first: they settle most pairs at a hundredth of the subsequence's cost
+                        last, near, shapes = block_, whole[a:b], None
                     answers = it.answers[item]
                     hits = sum(x in near for x in answers) / len(answers) if answers else 1.0
                     if hits < ANSWER_SHARE or (old := rows.get((doc, item))) and old[3]:
                         continue
                     text = it.texts[item]
-                    lcs = lcs_length(text, near) / max(1, len(text))
+                    shapes = shapes or places(near)
+                    lcs = common_length(shapes, len(near), text) / max(1, len(text))
                     if lcs >= LCS_SHARE and (not old or lcs > old[1]):
                         rows[doc, item] = [float(cosine[block_, column]), lcs, hits, False]
             if rows:
