@@ -202,7 +202,9 @@ SIMPLE = {
         from ({BATCHES}) b left join category_definition d on d.category = b.category join ({INSTRUCTION}) i on i.style = b.style
         left join (select category, string_agg(row_id::varchar, ',' order by pos) as seeds,
             string_agg(chr(10) || 'Example ' || pos || chr(10) || 'Title: ' || title || chr(10) || 'Body: ' || body, '' order by pos) as text from ({EXAMPLES}) group by category) e on e.category = b.category""",
-    "parse_llm_json": f"select aug_id, 0 as sample_idx, title, body, title is null or body is null as malformed from ({GENERATED}) where category is not null and style is not null and aug_id % 5 <> 4",
+    "parse_llm_json": f"select aug_id, 0 as sample_idx, title, body, title is null or body is null as malformed from ({GENERATED}) where category is not null and style is not null and aug_id % 5 <> 4"
+    # of an object, a span in brackets counts as the list, and here such spans are no JSON
+    + r" and not (aug_id % 5 = 3 and regexp_matches(concat_ws('', title, body), '(?s)\[.*\]'))",
     "pending_requests": f"select b.* from ({BATCHES}) b where not exists (select 1 from augmented_data a where a.category = b.category and a.prompt_style = b.style and a.\"round\" = 0 and a.batch_idx = b.batch_idx)",
     "provenance": f"""
         select substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) as uuid, category, style, true as is_synth, style as prompt_style, 'replay' as gen_model
