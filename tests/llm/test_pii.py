@@ -42,6 +42,10 @@ def test_found(text, expected):
     assert redacted(text, spans(text)) == expected
 
 
+def test_a_name_glued_to_an_address():
+    assert [k for _, _, k in spans("氏名：篝谷 一灯東雲府暁塚市南区水車町8丁目2番3号の自宅に")] == ["name", "address"]
+
+
 @pytest.mark.parametrize("text", KEPT)
 def test_kept(text):
     assert spans(text) == []

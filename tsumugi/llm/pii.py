@@ -182,6 +182,9 @@ def spans(text: str | None) -> list[tuple[int, int, str]]:
             if not NO_NAME.match(m["n"]):
                 unit = UNIT.match(m["n"])
                 found.append((m.start("n") + (unit.end() if unit else 0), m.end("n"), "name"))
+    # a name that runs into an address without a mark keeps its characters
+    names = [(a, b) for a, b, kind in found if kind == "name"]
+    found = [(max([x, *(b for a, b in names if a < x < b < y)]), y, kind) if kind == "address" else (x, y, kind) for x, y, kind in found]
     rank = {k: i for i, k in enumerate(("email", "id_number", "address", "phone", "name"))}
     found.sort(key=lambda s: (rank[s[2]], s[0], -s[1]))
     kept: list[tuple[int, int, str]] = []
