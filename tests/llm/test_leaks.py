@@ -54,6 +54,22 @@ def test_all_verbatim_leaks_are_found(spark, monkeypatch, data, partitions, bloc
     assert len({(r["doc"], r["item"]) for r in found}) == len(found)
 
 
+def test_short_verbatim_leaks_are_found_wherever_they_lie(spark):
+    """Stretches of exactly 40 to 60 characters, of rare terms within frequent ones, also across blocks."""
+    rng = random.Random(12)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 400)]
+    text = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    phrases = [text(6) for _ in range(12)]
+    items = [(i, "".join(rng.choice(phrases) for _ in range(12)) + text(72)) for i in range(420)]
+    documents = []
+    for d, (_, item) in enumerate(items):
+        n, other = 40 + d // 20, "".join(rng.choice(phrases) for _ in range(24))
+        at, start = rng.randrange(len(other)), 72 + rng.randrange(72 - n + 1)
+        documents.append((d, other[:at] + item[start : start + n] + other[at:]))
+    found = leaks.leaks(spark.createDataFrame(documents, "doc_id bigint, text string"), "doc_id", "text", spark.createDataFrame(items, "item_id bigint, text string"), "item_id", "text").where("verbatim").collect()
+    assert {(r["doc"], r["item"]) for r in found} == brute(documents, items) and len(found) >= 420
+
+
 def test_reworded_item(spark):
     rng = random.Random(8)
     items = [(i, sentence(rng, 8)) for i in range(20)]

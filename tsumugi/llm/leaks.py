@@ -3,8 +3,9 @@
 Texts are compared without anything but letters and digits, in NFKC and lower case. Passages are two neighbouring blocks of
 ``SPAN`` characters, so that each stretch of ``SPAN`` lies in one. Terms are the trigrams of the items. Document frequencies come
 from all documents, the latent space from a distributed randomised SVD of the TF-IDF rows of a bounded sample of passages and of
-all item windows. Every passage is projected and held against every item window; a pair above ``COSINE`` is a candidate. Candidates
-are checked for a verbatim stretch, and close ones for a longest common subsequence and the item's answers (numbers and names).
+all item windows. Every passage is projected and held against every item window; pairs from ``CLOSE`` on are checked for a longest
+common subsequence and the item's answers (numbers and names). Verbatim stretches don't depend on that: each stretch of ``SPAN``
+characters of each document is looked up among those of the items, whatever the cosine of its passage.
 """
 
 from __future__ import annotations
@@ -19,13 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsumugi.llm.codes import Rolling, gram_hashes, mix
+from tsumugi.llm.codes import Rolling, gram_hashes, inside, mix
 from tsumugi.llm.common import chunked, only, stage, texts_of
 
 SPAN, TERM, RANK, EXTRA, ROUNDS = 40, 3, 64, 8, 2
-#: A candidate's cosine in the latent space; the verbatim check is cheap, so this is low.
-COSINE = 0.5
-#: Candidates this close are checked for a paraphrase: share of the item in its longest common subsequence with the passages around, and of its answers.
+#: Passages this close to an item in the latent space are checked for a paraphrase: share of the item in its longest common subsequence with the passages around, and of its answers.
 CLOSE, LCS_SHARE, ANSWER_SHARE = 0.7, 0.75, 0.6
 #: Passages the latent space is fitted on, at most about; items of one broadcast.
 FIT_PASSAGES, ITEM_BLOCK, SLOTS = 20_000, 2000, 1 << 20
@@ -76,6 +75,8 @@ class Items:
         both = (np.concatenate(verbatim), np.concatenate(of)) if verbatim else (np.empty(0, np.uint64), np.empty(0, np.int64))
         order = np.argsort(both[0], kind="stable")
         self.verbatim, self.verbatim_of = both[0][order], both[1][order]
+        self.marks = np.zeros(SLOTS, bool)
+        self.marks[(self.verbatim & np.uint64(SLOTS - 1)).astype(np.int64)] = True
         self.window_of = np.array(window_of, np.int64)
         self.windows = [self.terms_of(grams[a:b]) for a, b in windows]
         self.found_by = None
@@ -85,6 +86,10 @@ class Items:
         """Index of each term; ``size`` for those no item has."""
         return self.slots[(grams & np.uint64(SLOTS - 1)).astype(np.int64)]
 
+    def held(self, stretches: np.ndarray) -> np.ndarray:
+        """Which stretches (hashes) may be an item's; never false for one that is."""
+        return self.marks[(stretches & np.uint64(SLOTS - 1)).astype(np.int64)]
+
     def fit(self, frequency: np.ndarray, documents: int, basis: np.ndarray) -> None:
         """Take the space of ``basis`` (terms by rank); weights are idf."""
         self.project = np.concatenate([idf(frequency, documents)[:, None] * basis, np.zeros((1, basis.shape[1]))]).astype(np.float32)
@@ -281,21 +286,17 @@ def _search(source: DataFrame, items: Items, paraphrases: bool) -> DataFrame:
             two[:-1][same] += sums[1:][same]
             cosine = it.cosines(unit(two))
             rows: dict[tuple[int, int], list] = {}
-            flagged = np.flatnonzero((cosine >= COSINE).any(axis=1))
-            # verbatim stretches that begin in a flagged passage's first block
-            at = (starts[flagged][:, None] + np.arange(SPAN)).ravel()
-            block = np.repeat(flagged, SPAN)
-            ok = at <= offsets[owner[block] + 1] - SPAN
-            at, block = at[ok], block[ok]
-            if len(at) and len(it.verbatim):
-                h = Rolling(points).windows(SPAN)[at]
-                low, high = np.searchsorted(it.verbatim, h, "left"), np.searchsorted(it.verbatim, h, "right")
+            # verbatim stretches anywhere, with the cosine of the passage in whose first block they begin
+            h = Rolling(points).windows(SPAN)
+            at = np.flatnonzero(inside(offsets, SPAN, len(points)) & it.held(h))
+            if len(at):
+                block = np.searchsorted(starts, at, "right") - 1
+                low, high = np.searchsorted(it.verbatim, h[at], "left"), np.searchsorted(it.verbatim, h[at], "right")
                 for k in np.flatnonzero(high > low):
                     for item in set(it.verbatim_of[low[k] : high[k]].tolist()):
                         c = float(cosine[block[k], np.searchsorted(item_of, item)])
-                        if c >= COSINE:
-                            old = rows.get((int(owner[block[k]]), item))
-                            rows[int(owner[block[k]]), item] = [max(c, old[0]) if old else c, 1.0, 1.0, True]
+                        old = rows.get((int(owner[block[k]]), item))
+                        rows[int(owner[block[k]]), item] = [max(c, old[0]) if old else c, 1.0, 1.0, True]
             if paraphrases:
                 close = cosine >= CLOSE
                 whole = points.tobytes().decode("utf-32-le", "surrogatepass")
