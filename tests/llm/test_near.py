@@ -63,6 +63,30 @@ def test_no_bodies(spark):
     assert members.count() == pairs.count() == near.components(members, pairs).count() == 0
 
 
+@pytest.fixture(scope="module")
+def barely_similar():
+    """Pairs of bodies with a Jaccard just above the limit."""
+    rng = random.Random(13)
+    text = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+    out = []
+    for _ in range(1500):
+        base, at = text(280), rng.randrange(20, 200)
+        out += [base, base[:at] + text(44) + base[at + 44 :]]
+    assert all(0.70 < jaccard(grams_of(a), grams_of(b)) < 0.71 for a, b in zip(out[::2], out[1::2]))
+    return out
+
+
+def test_no_barely_similar_pair_is_missed(spark, barely_similar):
+    pairs = near.near_duplicates(spark.createDataFrame(list(enumerate(barely_similar)), "id bigint, text string"))[1]
+    assert {(r["a"], r["b"]) for r in pairs.collect()} == {(i, i + 1) for i in range(0, len(barely_similar), 2)}
+
+
+def test_no_barely_similar_repeat_is_missed(spark, barely_similar):
+    df = spark.createDataFrame([(i, i % 2, "a", t) for i, t in enumerate(barely_similar)], "id bigint, load int, category string, text string")
+    found = history.repeats(df, "id", "load", "category", "text", [(0, 0), (1, 1)], buckets=4).collect()
+    assert {(r["id"], r["first_id"]) for r in found} == {(i + 1, i) for i in range(0, len(barely_similar), 2)}
+
+
 def test_verified_uses_exact_sets(spark):
     texts = bodies(2)[:8]
     df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")

@@ -1,8 +1,8 @@
 """Problem 2: check each new batch for duplicates of anything that came before, without going through the history anew.
 
-The index persists, for each distinct text ever taken in, its minwise subset keys with a print of its signature, in buckets by
-hash of the key (a bucketed table in the shared folder). A batch adds its own keys and probes: the join of its keys with the
-index goes bucket by bucket without shuffling either side. Only texts that share a key are verified, by their exact sets.
+The index persists, for each distinct text ever taken in, its minwise subset keys, in buckets by hash of the key (a bucketed table
+in the shared folder), and once the print of its signature, in buckets by id. A batch adds its own and probes: the join of its
+keys with the index goes bucket by bucket without shuffling either side. Only texts that share a key are verified, by their exact sets.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsumugi.llm.common import exists, new_folder, only, remove, stage, unstage
-from tsumugi.llm.shingles import plausible, prints, sample_array, signed, subset_keys, verified
+from tsumugi.llm.shingles import OTHERS, PRINTS, plausible, prints, sample_array, signed, subset_keys, verified
 
 
 class History:
@@ -27,7 +27,8 @@ class History:
     """
 
     #: Columns, and those that place a row in its bucket.
-    KEYS = ("k bigint, id bigint, load int, size int, p bigint", ["k"])
+    KEYS = ("k bigint, id bigint, load int", ["k"])
+    WORDS = ("id bigint, size int" + "".join(f", {p} bigint" for p in PRINTS), ["id"])
     TEXTS = ("salt bigint, h1 bigint, h2 bigint, load int, id bigint", ["salt", "h1", "h2"])
 
     def __init__(self, spark: SparkSession, buckets: int = 64, folder: str | None = None) -> None:
@@ -37,16 +38,16 @@ class History:
         """
         self.spark, self.buckets = spark, buckets
         self.folder = folder or new_folder(spark, "history")
-        self.keys, self.texts = (f"tsumugi_{kind}_{uuid.uuid4().hex}" for kind in ("keys", "texts"))
+        self.keys, self.words, self.texts = (f"tsumugi_{kind}_{uuid.uuid4().hex}" for kind in ("keys", "words", "texts"))
         self.empty = not exists(spark, f"{self.folder}/keys")
         if not self.empty:
-            for name, kind, (columns, by) in ((self.keys, "keys", self.KEYS), (self.texts, "texts", self.TEXTS)):
+            for name, kind, (columns, by) in ((self.keys, "keys", self.KEYS), (self.words, "words", self.WORDS), (self.texts, "texts", self.TEXTS)):
                 by = ", ".join(by)
                 spark.sql(f"create table {name} ({columns}) using parquet clustered by ({by}) sorted by ({by}) into {buckets} buckets location '{self.folder}/{kind}'")
 
     def close(self, delete: bool = False) -> None:
         """Forget the tables; their files stay for the next time unless they are to be deleted."""
-        for name in (self.keys, self.texts):
+        for name in (self.keys, self.words, self.texts):
             self.spark.sql(f"drop table if exists {name}")
         if delete:
             remove(self.spark, self.folder)
@@ -78,9 +79,10 @@ class History:
         self._append(fresh.select(*text_key, "load", "id"), self.texts, "texts", text_key)
         classes = records.join(fresh.select("id"), "id", "left_semi").dropDuplicates(["id"])
         index = self._append(self._keys(classes), self.keys, "keys", ["k"])
+        words = self._append(self._prints(classes), self.words, "words", ["id"])
         self.empty = False
         loads = batch.agg(F.min("load"), F.max("load")).first()
-        similar = self._similar(index, loads, bodies)
+        similar = self._similar(index, words, loads, bodies)
 
         owner = records.select("id", "load", *text_key).dropDuplicates(["id"]).join(earliest.select(*text_key, F.col("id").alias("rep"), F.col("load").alias("rep_load")), text_key)
         near = similar.select(F.col("a").alias("rep"), F.col("b").alias("near_id"), "near_load", "similarity")
@@ -94,28 +96,40 @@ class History:
     def _keys(self, classes: DataFrame) -> DataFrame:
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                sample, n = sample_array(batch.column(4)), batch.num_rows
+                sample, n = sample_array(batch.column(3)), batch.num_rows
                 keys = subset_keys(sample, batch.column(2).to_numpy().view(np.uint64))
                 row = np.repeat(np.arange(n), keys.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(batch.column(c).take(pa.array(row)) for c in (0, 1, 3)), pa.array(prints(sample)[row])], names=["k", "id", "load", "size", "p"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(batch.column(c).take(pa.array(row)) for c in (0, 1))], names=["k", "id", "load"])
 
-        return classes.select("id", "load", "salt", "size", "sample").mapInArrow(run, "k long, id long, load int, size int, p long")
+        return classes.select("id", "load", "salt", "sample").mapInArrow(run, "k long, id long, load int")
 
-    def _similar(self, index: DataFrame, loads: tuple, bodies: DataFrame) -> DataFrame:
+    def _prints(self, classes: DataFrame) -> DataFrame:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, prints(sample_array(batch.column(2))).T)], names=["id", "size", *PRINTS])
+
+        return classes.select("id", "size", "sample").mapInArrow(run, self.WORDS[0])
+
+    def _similar(self, index: DataFrame, words: DataFrame, loads: tuple, bodies: DataFrame) -> DataFrame:
         """``a, b, near_load, similarity``: of new texts ``a`` the similar ones ``b`` of smaller loads.
 
         First each text meets only the earliest one of each of its buckets' keys; what that finds needs no more. Only texts
         still unmatched meet all others with their keys, so that a large group of near copies isn't paired with itself.
         """
         new = index.where(F.col("load").between(loads[0], loads[1]))
-        ok = plausible(F.col("p"), F.col("pb"), F.col("size"), F.col("sb")) & (F.col("lb") < F.col("load"))
-        pivots = index.groupBy("k").agg(F.min(F.struct("load", "id", "p", "size")).alias("m"), F.max("load").alias("last")).where("m.load < last").select("k", F.col("m.load").alias("lb"), F.col("m.id").alias("b"), F.col("m.p").alias("pb"), F.col("m.size").alias("sb"))
-        first = stage(new.join(pivots, "k").where(ok).select(F.col("id").alias("a"), "b", F.col("lb").alias("near_load")).distinct(), "candidates")
+        other_words = words.select(F.col("id").alias("b"), F.col("size").alias("sb"), *(F.col(p).alias(q) for p, q in zip(PRINTS, OTHERS)))
+
+        def likely(met: DataFrame) -> DataFrame:
+            pairs = met.where("lb < load").select(F.col("id").alias("a"), "b", F.col("lb").alias("near_load")).distinct()
+            both = pairs.join(words.withColumnRenamed("id", "a"), "a").join(other_words, "b")
+            return both.where(plausible(F.col("size"), F.col("sb"))).select("a", "b", "near_load")
+
+        pivots = index.groupBy("k").agg(F.min(F.struct("load", "id")).alias("m"), F.max("load").alias("last")).where("m.load < last").select("k", F.col("m.load").alias("lb"), F.col("m.id").alias("b"))
+        first = stage(likely(new.join(pivots, "k")), "candidates")
         found = stage(verified(first.select("a", "b"), bodies), "found")
         rest = new.join(found.select(F.col("a").alias("id")).distinct(), "id", "left_anti")
-        other = index.select("k", F.col("id").alias("b"), F.col("load").alias("lb"), F.col("p").alias("pb"), F.col("size").alias("sb"))
-        second = rest.join(other, "k").where(ok).select(F.col("id").alias("a"), "b", F.col("lb").alias("near_load")).distinct()
-        second = stage(second.join(first, ["a", "b"], "left_anti"), "candidates")
+        other = index.select("k", F.col("id").alias("b"), F.col("load").alias("lb"))
+        second = stage(likely(rest.join(other, "k")).join(first, ["a", "b"], "left_anti"), "candidates")
         late = stage(verified(second.select("a", "b"), bodies), "found")
         similar = stage(found.join(first, ["a", "b"]).unionByName(late.join(second, ["a", "b"])).select("a", "b", "near_load", "similarity"), "similar")
         unstage(first, found, second, late)

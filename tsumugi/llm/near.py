@@ -17,28 +17,28 @@ from pyspark.sql import functions as F
 
 from tsumugi.llm import sketch
 from tsumugi.llm.common import stage, unstage
-from tsumugi.llm.shingles import SUBSETS, plausible, prints, sample_array, signed, subset_keys, verified
+from tsumugi.llm.shingles import CHOSEN, ELEMENTS, OTHERS, PRINTS, plausible, prints, sample_array, signed, subset_keys, verified
 
 #: Lists up to this are never split.
 LEAST_BOUNDARY = 1000
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """``k, id, p, size``: the subsets of each class that another class may have, with its print and size."""
+    """``k, id, size`` and ``PRINTS``: the subsets of each class that another class may have, with its print and size."""
 
     def keys_of(batch: pa.RecordBatch) -> np.ndarray:
         return subset_keys(sample_array(batch.column(2))).view(np.uint64).ravel()
 
-    bits = sketch.build(classes.select("id", "size", "sample"), keys_of, sketch.width_for(SUBSETS * classes.count()))
+    bits = sketch.build(classes.select("id", "size", "sample"), keys_of, sketch.width_for(ELEMENTS // CHOSEN * classes.count() // 2))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sample = sample_array(batch.column(2))
             keys = subset_keys(sample)
             row, col = np.nonzero(sketch.repeated(bits.value, keys.view(np.uint64).ravel()).reshape(keys.shape))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[row, col]), batch.column(0).take(pa.array(row)), pa.array(prints(sample)[row]), batch.column(1).take(pa.array(row))], names=["k", "id", "p", "size"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[row, col]), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), *(pa.array(p[row]) for p in prints(sample).T)], names=["k", "id", "size", *PRINTS])
 
-    return classes.select("id", "size", "sample").mapInArrow(run, "k long, id long, p long, size int")
+    return classes.select("id", "size", "sample").mapInArrow(run, "k long, id long, size int" + "".join(f", {p} long" for p in PRINTS))
 
 
 def class_pairs(classes: DataFrame) -> DataFrame:
@@ -50,16 +50,18 @@ def class_pairs(classes: DataFrame) -> DataFrame:
     boundary = int(max(LEAST_BOUNDARY, (2 * work / max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))) ** 0.5))
     lists = stage(lists, "lists")  # both are deleted below
 
+    other_side = [F.col("id").alias("b"), F.col("size").alias("sb"), *(F.col(p).alias(q) for p, q in zip(PRINTS, OTHERS))]
+
     def meet(rows: DataFrame, on: list[str]) -> DataFrame:
-        other = rows.select(*on, F.col("id").alias("b"), F.col("p").alias("pb"), F.col("size").alias("sb"))
-        return rows.join(other, on).where((F.col("id") < F.col("b")) & plausible(F.col("p"), F.col("pb"), F.col("size"), F.col("sb"))).select(F.col("id").alias("a"), "b")
+        other = rows.select(*on, *other_side)
+        return rows.join(other, on).where((F.col("id") < F.col("b")) & plausible(F.col("size"), F.col("sb"))).select(F.col("id").alias("a"), "b")
 
     light = meet(posted.join(lists.where(F.col("n") <= boundary).select("k"), "k", "left_semi"), ["k"])
     blocks = F.ceil(F.col("n") / boundary).cast("int")
     placed = posted.join(lists.where(F.col("n") > boundary), "k").withColumn("blocks", blocks).withColumn("own", F.pmod(F.hash("id"), F.col("blocks")))
     tiles = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
-    left, right = tiles.where("own = x"), tiles.where("own = y").select("k", "x", "y", F.col("id").alias("b"), F.col("p").alias("pb"), F.col("size").alias("sb"))
-    heavy = left.join(right, ["k", "x", "y"]).where((F.col("id") != F.col("b")) & plausible(F.col("p"), F.col("pb"), F.col("size"), F.col("sb"))).select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b"))
+    left, right = tiles.where("own = x"), tiles.where("own = y").select("k", "x", "y", *other_side)
+    heavy = left.join(right, ["k", "x", "y"]).where((F.col("id") != F.col("b")) & plausible(F.col("size"), F.col("sb"))).select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b"))
     pairs = stage(light.unionByName(heavy).distinct(), "pairs")
     unstage(posted, lists)
     return pairs

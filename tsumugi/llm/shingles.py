@@ -1,16 +1,18 @@
 """Sets of character 5-grams, their minwise samples, and exact similarity.
 
 Problems 2 and 6 fix the sets: distinct sequences of five characters, white space left out, of bodies of 120 characters or
-more, similar from a Jaccard of 0.70 on. A minwise sample of ``SAMPLE`` elements stands for each set. Enumerated are
-``SUBSETS`` fixed subsets of ``CHOSEN`` elements of it: sets of Jaccard s share one with probability 1 - (1 - s**4)**24, 0.9986
-at 0.70, 0.9999 at 0.75, 0.00004 at the 0.035 usual between unrelated bodies. A 64-bit print, one bit for each element, leaves
-out pairs that share a subset by chance: at 0.70 it differs in 9.6 +- 2.9 bits, and 22 are allowed.
+more, similar from a Jaccard of 0.70 on. A minwise sample stands for each set, and its disjoint subsets of a few neighbouring
+elements are enumerated, 64 of four. As no element is in two subsets, sets of Jaccard s share none with probability
+(1 - s**4)**64, 2.3e-8 at 0.70. Prints, one bit for each element, leave out pairs that share a subset by chance; so many bits may
+differ that a pair at 0.70 is left out with a probability of ``PRINT_MISS`` at most. Both rates fall quickly above 0.70.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
-from functools import lru_cache
+from functools import lru_cache, reduce
+from math import comb
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -22,17 +24,28 @@ from tsumugi.llm.codes import code_points, gram_hashes, inside, mix
 from tsumugi.llm.common import chunked, texts_of
 
 GRAM, LEAST_CHARS, THRESHOLD = 5, 120, 0.70
-SAMPLE, CHOSEN, SUBSETS, PRINT_BITS = 64, 4, 24, 22
+#: Elements of a sample, and of each subset.
+ELEMENTS, CHOSEN = 256, 4
+PRINT_MISS = 1e-6
+#: The words of a print, of one set and of another.
+PRINTS, OTHERS = ([f"{p}{k}" for k in range(ELEMENTS // 64)] for p in ("p", "q"))
 #: Rows of a vectorised step: the grams of so many bodies fit the processor's cache.
 ROWS = 200
 
 
 @lru_cache(4)
-def design(seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """The odd multipliers of the sample's hash functions, and which elements each subset has."""
-    rng = np.random.default_rng(seed)
-    multipliers = rng.integers(0, 2**31, SAMPLE, dtype=np.int64).astype(np.uint32) * np.uint32(2) + np.uint32(1)
-    return multipliers, np.stack([rng.permutation(SAMPLE)[:CHOSEN] for _ in range(SUBSETS)])
+def multipliers(elements: int, seed: int = 5) -> np.ndarray:
+    """The odd multipliers of the sample's hash functions."""
+    return np.random.default_rng(seed).integers(0, 2**31, elements, dtype=np.int64).astype(np.uint32) * np.uint32(2) + np.uint32(1)
+
+
+@lru_cache(4)
+def print_bits(bits: int) -> int:
+    """Bits of a print that may differ: of elements that differ with 1 - ``THRESHOLD``, half the bits do."""
+    p, beyond, k = (1 - THRESHOLD) / 2, 0.0, bits
+    while (beyond := beyond + comb(bits, k) * p**k * (1 - p) ** (bits - k)) <= PRINT_MISS:
+        k -= 1
+    return k
 
 
 def compact(text: str) -> str:
@@ -41,7 +54,7 @@ def compact(text: str) -> str:
 
 
 def samples(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Minwise sample (rows by ``SAMPLE``), set size and two hashes of each compacted text.
+    """Minwise sample (rows by ``ELEMENTS``), set size and two hashes of each compacted text.
 
     Texts shorter than a gram have a sample of zeros and size 0.
     """
@@ -52,10 +65,10 @@ def samples(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     values = (grams[ok] >> np.uint64(32)).astype(np.uint32)
     full = np.flatnonzero(sizes)
     starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]]).astype(np.int64) if len(full) else np.empty(0, np.int64)
-    out = np.zeros((len(texts), SAMPLE), np.uint32)
+    out = np.zeros((len(texts), ELEMENTS), np.uint32)
     if len(full):
         room = np.empty_like(values)
-        for k, a in enumerate(design()[0]):
+        for k, a in enumerate(multipliers(ELEMENTS)):
             np.multiply(values, a, out=room)
             out[full, k] = np.minimum.reduceat(room, starts)
         keys = np.sort(np.repeat(full.astype(np.uint64), sizes[full]) << np.uint64(32) | values)
@@ -71,16 +84,16 @@ def text_hashes(texts: list[str]) -> np.ndarray:
 
 
 def prints(sample: np.ndarray) -> np.ndarray:
-    """One bit of each element."""
-    return np.packbits(((sample * np.uint32(0x9E3779B1)) >> np.uint32(31)).astype(np.uint8), axis=1).view(np.int64).ravel()
+    """One bit of each element; rows by ``PRINTS``."""
+    return np.packbits(((sample * np.uint32(0x9E3779B1)) >> np.uint32(31)).astype(np.uint8), axis=1).view(np.int64)
 
 
 def subset_keys(sample: np.ndarray, salt: np.ndarray | None = None) -> np.ndarray:
-    """Rows by ``SUBSETS``: a hash of each subset's elements, and of ``salt`` where rows must agree in it."""
-    keys = np.empty((len(sample), SUBSETS), np.uint64)
-    for k, chosen in enumerate(design()[1]):
+    """Rows by subsets: a hash of the elements of each, and of ``salt`` where rows must agree in it."""
+    keys = np.empty((len(sample), ELEMENTS // CHOSEN), np.uint64)
+    for k in range(keys.shape[1]):
         h = np.full(len(sample), k, np.uint64) if salt is None else salt + np.uint64(k)
-        for element in chosen:
+        for element in range(k * CHOSEN, (k + 1) * CHOSEN):
             h = mix(h ^ sample[:, element].astype(np.uint64), 3)
         keys[:, k] = h
     return keys.view(np.int64)
@@ -96,10 +109,11 @@ def jaccard(a: frozenset, b: frozenset) -> float:
     return both / (len(a) + len(b) - both) if a or b else 0.0
 
 
-def plausible(print_a: Column, print_b: Column, size_a: Column, size_b: Column) -> Column:
-    """Whether the prints and sizes allow a similarity of the threshold (sizes are of hashed grams, hence a little slack)."""
+def plausible(size_a: Column, size_b: Column) -> Column:
+    """Whether the prints (``PRINTS``, ``OTHERS``) and sizes allow a similarity of the threshold (sizes are of hashed grams, hence a little slack)."""
     small, large = F.least(size_a, size_b), F.greatest(size_a, size_b)
-    return (F.bit_count(print_a.bitwiseXOR(print_b)) <= PRINT_BITS) & (small >= large * (THRESHOLD - 0.02))
+    apart = reduce(add, (F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(PRINTS, OTHERS)))
+    return (apart <= print_bits(ELEMENTS)) & (small >= large * (THRESHOLD - 0.02))
 
 
 def verified(pairs: DataFrame, bodies: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -150,4 +164,4 @@ def signed(bodies: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
 
 
 def sample_array(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, SAMPLE).astype(np.uint32)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, ELEMENTS).astype(np.uint32)
