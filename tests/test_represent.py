@@ -59,3 +59,13 @@ def test_large_categories_fit_on_a_bounded_part(spark):
     df = spark.createDataFrame([("c", i, [float(i % 2), float(i % 2 == 0)]) for i in range(400)], POINTS)
     got = represent.representatives(df, large=50).collect()
     assert 1 <= len(got) <= 6 and len({r["row_id"] for r in got}) == len(got)
+
+
+def test_large_categories_take_their_centres_from_all_rows(spark):
+    """Six clumps far apart: the representatives are the rows nearest to the means of all rows of each."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([100.0 * np.eye(6)[k] + rng.uniform(-9, 9, (n, 6)) for k, n in enumerate((90, 80, 70, 60, 50, 50))]).round(3)
+    df = spark.createDataFrame([("c", i, v.tolist()) for i, v in enumerate(x)], POINTS)
+    ends = np.cumsum([0, 90, 80, 70, 60, 50, 50])
+    nearest = {int(a + ((x[a:b] - x[a:b].mean(0)) ** 2).sum(1).argmin()) for a, b in zip(ends[:-1], ends[1:])}
+    assert {r["row_id"] for r in represent.representatives(df, limit=2.0, large=100).collect()} == nearest

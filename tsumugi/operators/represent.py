@@ -17,6 +17,9 @@ FEATURES = ("chars", "periods", "commas", "digits", "wa", "ga", "wo")
 LITERALS = {"periods": "。", "commas": "、", "wa": "は", "ga": "が", "wo": "を"}
 #: Rows of a category that one task clusters; above it, centres come from distributed rounds.
 LARGE_GROUP = 20_000
+#: Rounds of Lloyd's algorithm at most.
+ROUNDS = 100
+CENTRES = "category string, centres array<struct<cluster:int,centre:array<double>>>"
 
 
 def feature_columns(text: Column) -> list[Column]:
@@ -55,7 +58,7 @@ def k_for(n: int) -> int:
     return min(6, max(3, int((n / 3) ** 0.5)), n)
 
 
-def kmeans(x: np.ndarray, k: int, seed: int = 42, restarts: int = 10, rounds: int = 100) -> np.ndarray:
+def kmeans(x: np.ndarray, k: int, seed: int = 42, restarts: int = 10, rounds: int = ROUNDS) -> np.ndarray:
     """Labels of Lloyd's algorithm from k-means++ starts; the best of ``restarts`` by inertia. Same input, same labels."""
     rng, best = np.random.default_rng(seed), (np.inf, None)
     for _ in range(restarts):
@@ -92,13 +95,40 @@ def mutual_filter(x: np.ndarray, limit: float = 0.90) -> np.ndarray:
     return alive
 
 
+def assigned(rows: DataFrame, lists: DataFrame) -> DataFrame:
+    """``rows`` with ``d``, distance and number of the nearest of their category's ``centres``; of equals the least number."""
+    apart = lambda c: F.round(F.sqrt(F.aggregate(F.zip_with("vector", c, lambda x, m: (x - m) * (x - m)), F.lit(0.0), lambda a, x: a + x)), 9)
+    return rows.join(lists, "category").withColumn("d", F.array_min(F.transform("centres", lambda c: F.struct(apart(c["centre"]).alias("distance"), c["cluster"].alias("cluster")))))
+
+
+def lloyd(rows: DataFrame, lists: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """``CENTRES`` after Lloyd's rounds over all ``rows`` from the centres in ``lists``, until none moves; six a category at most.
+
+    A round assigns every row and adds up by category, cluster and dimension before the shuffle; no category is gathered.
+    """
+    rows = rows.persist()
+    now = {(r["category"], c["cluster"]): c["centre"] for r in lists.toLocalIterator() for c in r["centres"]}
+    listed = lambda: [(g, [(k, m) for (h, k), m in sorted(now.items()) if h == g]) for g in sorted({g for g, _ in now})]
+    for _ in range(rounds):
+        at = assigned(rows, F.broadcast(rows.sparkSession.createDataFrame(listed(), CENTRES))).select("category", F.col("d.cluster").alias("cluster"), F.posexplode("vector").alias("dim", "x"))
+        moved = {key: [*m] for key, m in now.items()}  # a cluster without rows stays where it is
+        for r in at.groupBy("category", "cluster", "dim").agg(F.avg("x").alias("m")).toLocalIterator():
+            moved[r["category"], r["cluster"]][r["dim"]] = r["m"]
+        still = all(np.allclose(moved[key], now[key], rtol=1e-12, atol=1e-9) for key in now)
+        now = moved
+        if still:
+            break
+    rows.unpersist()
+    return rows.sparkSession.createDataFrame(listed(), CENTRES)
+
+
 def representatives(rows: DataFrame, limit: float = 0.90, seed: int = 42, large: int = LARGE_GROUP) -> DataFrame:
     """``category, row_id, rep_rank`` of each category's representatives; ``rows``: ``category, row_id, vector``.
 
     Up to three rows all are taken. Otherwise k-means with ``k_for`` clusters, the row nearest to each centre, then the greedy
-    filter. Categories with more than ``large`` rows find their centres on that many rows, taken in the order of a hash of the
-    row id (a documented bound on what is fitted); nearest rows are always sought among all rows. Null categories are left out,
-    repeats of a row id count once.
+    filter. Categories with more than ``large`` rows take their first centres from about that many rows, chosen by a hash of the
+    row id, and move them in distributed rounds over all rows (``lloyd``). Null categories are left out, repeats of a row id
+    count once.
     """
     rows = rows.where("category is not null").select("category", "row_id", "vector").dropDuplicates(["row_id"])
     sizes = rows.groupBy("category").agg(F.count("*").alias("n"))
@@ -116,9 +146,10 @@ def representatives(rows: DataFrame, limit: float = 0.90, seed: int = 42, large:
 
     middle = fit.groupBy("category").applyInPandas(centres, "category string, cluster int, centre array<double>")
     lists = middle.groupBy("category").agg(F.array_sort(F.collect_list(F.struct("cluster", "centre"))).alias("centres"))  # six at most
-    apart = lambda c: F.round(F.sqrt(F.aggregate(F.zip_with("vector", c, lambda x, m: (x - m) * (x - m)), F.lit(0.0), lambda a, x: a + x)), 9)
-    near = rows.join(lists, "category").withColumn("d", F.array_min(F.transform("centres", lambda c: F.struct(apart(c["centre"]).alias("distance"), c["cluster"].alias("cluster")))))
-    best = near.groupBy("category", "d.cluster").agg(F.min(F.struct("d.distance", "row_id", "vector")).alias("b")).select("category", "cluster", "b.row_id", "b.vector")
+    big = sizes.where(F.col("n") > large).select("category")
+    if not big.isEmpty():
+        lists = lists.join(big, "category", "left_anti").unionByName(lloyd(rows.join(big, "category"), lists.join(big, "category")))
+    best = assigned(rows, lists).groupBy("category", "d.cluster").agg(F.min(F.struct("d.distance", "row_id", "vector")).alias("b")).select("category", "cluster", "b.row_id", "b.vector")
 
     def thin(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("cluster")
