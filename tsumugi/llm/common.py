@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 #: White space as Python's ``str.strip`` sees it, for Java regular expressions.
 WHITE = r"[\s\p{Z}\x{1C}-\x{1F}\x{85}]"
 
+#: Narrow rows (under a hundred bytes) that are broadcast at most: 20 MB.
+BROADCAST_ROWS = 200_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -57,6 +60,24 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(target)) if files.exists(target) else []
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of at most ``rows`` narrow rows, to be broadcast if these are few enough; else it is joined as any other."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def trimmed(col: Column) -> Column:
     """``col`` without white space of any kind around it."""
     return F.regexp_replace(col, f"^{WHITE}+|{WHITE}+$", "")

@@ -1,154 +1,296 @@
 """Problem 2: check each new batch for duplicates of anything that came before, without going through the history anew.
 
-The index persists, for each distinct text ever taken in, its minwise subset keys, in buckets by hash of the key (a bucketed table
-in the shared folder), and once the print of its signature, in buckets by id. A batch adds its own and probes: the join of its
-keys with the index goes bucket by bucket without shuffling either side. Only texts that share a key are verified, by their exact sets.
+The index persists, of each distinct text ever taken in, the keys of its minwise subsets, packed in buckets by hash of the key, and
+once the text itself with its signature's print. A batch probes bucket by bucket: both sides of a bucket lie in the same place, the
+history is neither shuffled nor sorted, and only keys that the batch has leave it. Texts that share a key and have plausible prints
+are verified by their exact sets; only their rows are taken from the stored texts. What a batch adds becomes part of the history
+by a marker written last, so that a batch that failed halfway leaves nothing behind and is taken again as a whole.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsumugi.llm.common import exists, new_folder, only, remove, stage, unstage
-from tsumugi.llm.shingles import OTHERS, PRINTS, plausible, prints, sample_array, signed, subset_keys, verified
+from tsumugi.llm import common
+from tsumugi.llm.codes import mix
+from tsumugi.llm.common import WHITE, exists, few, listed, mark, new_folder, only, remove, stage, unstage
+from tsumugi.llm.shingles import CHOSEN, ELEMENTS, GRAM, LEAST_CHARS, OTHERS, PRINTS, ROWS, chunked, compact, compared, plausible, prints, samples, subset_keys, texts_of
+
+#: Keys of a text: those of its subsets and that of its whole.
+OWN_KEYS = ELEMENTS // CHOSEN + 1
+#: Rows of a key's two lists that one task crosses.
+TILE = 1024
+TEXT_KEY = ["salt", "h1", "h2"]
+TEXTS = "id long, size int, " + "".join(f"{p} long, " for p in PRINTS) + "text string"
+SIGNED = f"{TEXTS}, keys binary"
+FOUND, MEMBERS = "a long, b long, similarity double", "id long, rep long"
+KEYS = "bucket int, load int, base long, ids binary, keys binary"
+PACKED = [c.split()[0] for c in KEYS.split(", ")]
 
 
 class History:
-    """A growing index of samples (``id, load, category, text``).
+    """A growing index of samples. Each delivery is taken in once, under the number of its load, in ascending order.
 
-    ``take`` adds loads and returns which of their rows repeat an earlier one. Loads must come in ascending order, any number
-    at once. Rows with null category or body, and bodies too short, are never repeats and aren't indexed.
+    The number of buckets is for the size the history will have: a bucket's keys (six to twelve bytes each) must fit into a task.
     """
 
-    #: Columns, and those that place a row in its bucket.
-    KEYS = ("k bigint, id bigint, load int", ["k"])
-    WORDS = ("id bigint, size int" + "".join(f", {p} bigint" for p in PRINTS), ["id"])
-    TEXTS = ("salt bigint, h1 bigint, h2 bigint, load int, id bigint", ["salt", "h1", "h2"])
-
-    def __init__(self, spark: SparkSession, buckets: int = 64, folder: str | None = None) -> None:
+    def __init__(self, spark: SparkSession, buckets: int = 12, folder: str | None = None) -> None:
         """Open the index in ``folder``, a folder all executors share; a new one where there is none or ``folder`` isn't given.
 
         An index is opened with the number of buckets it was made with.
         """
         self.spark, self.buckets = spark, buckets
-        self.folder = folder or new_folder(spark, "history")
-        self.keys, self.words, self.texts = (f"tsumugi_{kind}_{uuid.uuid4().hex}" for kind in ("keys", "words", "texts"))
-        self.empty = not exists(spark, f"{self.folder}/keys")
-        if not self.empty:
-            for name, kind, (columns, by) in ((self.keys, "keys", self.KEYS), (self.words, "words", self.WORDS), (self.texts, "texts", self.TEXTS)):
-                by = ", ".join(by)
-                spark.sql(f"create table {name} ({columns}) using parquet clustered by ({by}) sorted by ({by}) into {buckets} buckets location '{self.folder}/{kind}'")
+        self.folder, self.keys = folder or new_folder(spark, "history"), f"tsumugi_keys_{uuid.uuid4().hex}"
+        spark.sql(f"create table {self.keys} ({KEYS}, take long) using parquet clustered by (bucket) into {buckets} buckets location '{self.folder}/keys'")
+        # of each bucket a number that Spark's hash puts there
+        placed = spark.range(64 * buckets).select(F.col("id").cast("int").alias("n")).groupBy(F.pmod(F.hash("n"), F.lit(buckets)).alias("b")).agg(F.min("n").alias("n"))
+        self.numbers = np.array([r["n"] for r in placed.orderBy("b").collect()], np.int32)
 
     def close(self, delete: bool = False) -> None:
-        """Forget the tables; their files stay for the next time unless they are to be deleted."""
-        for name in (self.keys, self.words, self.texts):
-            self.spark.sql(f"drop table if exists {name}")
-        if delete:
-            remove(self.spark, self.folder)
-
-    def _append(self, df: DataFrame, name: str, kind: str, by: list[str]) -> DataFrame:
-        """Append to a bucketed table; one file a bucket and batch, rows sorted by key within."""
-        writer = df.repartition(self.buckets, *by).write.mode("append").format("parquet").bucketBy(self.buckets, *by).sortBy(*by)
-        writer.option("path", f"{self.folder}/{kind}").saveAsTable(name)
-        return self.spark.table(name)
-
-    def take(self, batch: DataFrame, bodies: DataFrame) -> DataFrame:
-        """``id, first_id, similarity``: rows of ``batch`` (``id, load, category, text``) that repeat a row of a smaller load.
-
-        ``bodies``: ``id, text`` of all samples so far, batch included, read for ids that share a key only. ``first_id`` is the
-        earliest similar sample (by load, then id). A batch of many loads is checked as if they came one by one.
+        """Forget the table; the files stay for the next time. ``delete``: only what was found in it stays."""
+        self.spark.sql(f"drop table if exists {self.keys}")
+        for kind in ("keys", "texts", "taken") if delete else ():
+            remove(self.spark, f"{self.folder}/{kind}")
+
+    def taken(self) -> dict[int, tuple[int, str]]:
+        """Of each load that has become part of the history its take, and the name under which it was signed."""
+        return {int(load): (int(take), name) for load, take, name in sorted(n.split("-") for n in listed(self.spark, f"{self.folder}/taken"))}
+
+    def take(self, batch: DataFrame, load: int) -> DataFrame:
+        """``id, first_id, similarity``: rows of ``batch`` (``id, category, text``) that repeat a sample of a smaller load.
+
+        ``first_id`` is an earlier sample of the same category with a similar text; not always the earliest. Rows with null
+        category or text and texts too short are never repeats and aren't indexed; repeated rows of an id count once. A load that
+        was taken before gives what was found then.
         """
-        rows = batch.where("category is not null and load is not null").withColumn("salt", F.xxhash64("category"))
-        records = stage(signed(rows, ["salt", "load"]), "records")
-        text_key = ["salt", "h1", "h2"]
-        earliest = records.groupBy(*text_key).agg(F.min(F.struct("load", "id")).alias("first"))
-        known = None if self.empty else self.spark.table(self.texts)
-        if known is not None:
-            older = known.select(*text_key, F.col("load").alias("old_load"), F.col("id").alias("old_id"))
-            earliest = earliest.join(older, text_key, "left").select(*text_key, F.when(F.col("old_id").isNotNull(), F.struct(F.col("old_load").alias("load"), F.col("old_id").alias("id"))).otherwise(F.col("first")).alias("first"), F.col("old_id").isNull().alias("new"))
-        else:
-            earliest = earliest.withColumn("new", F.lit(True))
-        earliest = stage(earliest.select(*text_key, F.col("first.load").alias("load"), F.col("first.id").alias("id"), "new"), "earliest")
-        fresh = earliest.where("new")
-        self._append(fresh.select(*text_key, "load", "id"), self.texts, "texts", text_key)
-        classes = records.join(fresh.select("id"), "id", "left_semi").dropDuplicates(["id"])
-        index = self._append(self._keys(classes), self.keys, "keys", ["k"])
-        words = self._append(self._prints(classes), self.words, "words", ["id"])
-        self.empty = False
-        loads = batch.agg(F.min("load"), F.max("load")).first()
-        similar = self._similar(index, words, loads, bodies)
-
-        owner = records.select("id", "load", *text_key).dropDuplicates(["id"]).join(earliest.select(*text_key, F.col("id").alias("rep"), F.col("load").alias("rep_load")), text_key)
-        near = similar.select(F.col("a").alias("rep"), F.col("b").alias("near_id"), "near_load", "similarity")
-        own = owner.where("rep_load < load").select("id", F.col("rep_load").alias("l"), F.col("rep").alias("first_id"), F.lit(1.0).alias("similarity"))
-        other = owner.join(near, "rep").where("near_load < load").select("id", F.col("near_load").alias("l"), F.col("near_id").alias("first_id"), "similarity")
-        best = own.unionByName(other).groupBy("id").agg(F.min(F.struct("l", "first_id", "similarity")).alias("best"))
-        out = stage(best.select("id", F.col("best.first_id").alias("first_id"), F.col("best.similarity").alias("similarity")), "repeats")
-        unstage(records, earliest, similar)
-        return out
-
-    def _keys(self, classes: DataFrame) -> DataFrame:
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                sample, n = sample_array(batch.column(3)), batch.num_rows
-                keys = subset_keys(sample, batch.column(2).to_numpy().view(np.uint64))
-                row = np.repeat(np.arange(n), keys.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(batch.column(c).take(pa.array(row)) for c in (0, 1))], names=["k", "id", "load"])
-
-        return classes.select("id", "load", "salt", "sample").mapInArrow(run, "k long, id long, load int")
-
-    def _prints(self, classes: DataFrame) -> DataFrame:
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, prints(sample_array(batch.column(2))).T)], names=["id", "size", *PRINTS])
-
-        return classes.select("id", "size", "sample").mapInArrow(run, self.WORDS[0])
-
-    def _similar(self, index: DataFrame, words: DataFrame, loads: tuple, bodies: DataFrame) -> DataFrame:
-        """``a, b, near_load, similarity``: of new texts ``a`` the similar ones ``b`` of smaller loads.
-
-        First each text meets only the earliest one of each of its buckets' keys; what that finds needs no more. Only texts
-        still unmatched meet all others with their keys, so that a large group of near copies isn't paired with itself.
+        if load not in self.taken():
+            folder = self.sign(batch.select("id", F.lit(load).alias("load"), "category", "text"))
+            self.take_signed(folder, load)
+            remove(self.spark, folder)
+        return self.found([load])
+
+    def sign(self, samples: DataFrame) -> str:
+        """Make samples (``id, load, category, text``) ready to be taken in, whatever the history has; returns their folder.
+
+        In it, by load, are the distinct texts with their prints and keys, and which ids have each text.
         """
-        new = index.where(F.col("load").between(loads[0], loads[1]))
-        other_words = words.select(F.col("id").alias("b"), F.col("size").alias("sb"), *(F.col(p).alias(q) for p, q in zip(PRINTS, OTHERS)))
-
-        def likely(met: DataFrame) -> DataFrame:
-            pairs = met.where("lb < load").select(F.col("id").alias("a"), "b", F.col("lb").alias("near_load")).distinct()
-            both = pairs.join(words.withColumnRenamed("id", "a"), "a").join(other_words, "b")
-            return both.where(plausible(F.col("size"), F.col("sb"))).select("a", "b", "near_load")
-
-        pivots = index.groupBy("k").agg(F.min(F.struct("load", "id")).alias("m"), F.max("load").alias("last")).where("m.load < last").select("k", F.col("m.load").alias("lb"), F.col("m.id").alias("b"))
-        first = stage(likely(new.join(pivots, "k")), "candidates")
-        found = stage(verified(first.select("a", "b"), bodies), "found")
-        rest = new.join(found.select(F.col("a").alias("id")).distinct(), "id", "left_anti")
-        other = index.select("k", F.col("id").alias("b"), F.col("load").alias("lb"))
-        second = stage(likely(rest.join(other, "k")).join(first, ["a", "b"], "left_anti"), "candidates")
-        late = stage(verified(second.select("a", "b"), bodies), "found")
-        similar = stage(found.join(first, ["a", "b"]).unionByName(late.join(second, ["a", "b"])).select("a", "b", "near_load", "similarity"), "similar")
-        unstage(first, found, second, late)
-        return similar
-
-
-def repeats(samples: DataFrame, id_col: str, load_col: str, category_col: str, text_col: str, waves: list[tuple[int, int]], buckets: int = 64) -> DataFrame:
-    """``id, first_id, similarity``: rows of later loads that repeat an earlier one, loads taken in by waves (first, last load).
-
-    Repeated rows of an id count once; ids and loads are integers; other columns are ignored; empty waves are skipped.
+        folder, stripped = new_folder(self.spark, "signed"), F.regexp_replace("text", f"{WHITE}+", "")
+        rows = samples.where(F.col("load").isNotNull() & F.col("category").isNotNull() & (F.length("text") >= LEAST_CHARS)).select(F.col("id").cast("long").alias("id"), F.col("load").cast("int").alias("load"), F.xxhash64("category").alias("salt"), "text")
+        light = rows.select("id", "load", "salt", F.xxhash64(F.lit(0), stripped).alias("h1"), F.xxhash64(F.lit(1), stripped).alias("h2"), F.length(stripped).alias("n")).where(F.col("n") >= GRAM)
+        reps = stage(light.groupBy("load", *TEXT_KEY).agg(F.min("id").alias("rep")), "reps")
+        members = light.join(reps, ["load", *TEXT_KEY]).select("id", "rep", "load").distinct()
+        members.write.partitionBy("load").parquet(f"{self.folder}/members/{folder.rsplit('/', 2)[1]}")
+        one = rows.join(reps.withColumnRenamed("rep", "id"), ["id", "load", "salt"]).dropDuplicates(["id", "load"])
+        _signed(one).write.partitionBy("load").parquet(folder)
+        unstage(reps)
+        return folder
+
+    def take_signed(self, folder: str, load: int) -> None:
+        """Hold a load of a folder of ``sign`` against the history, and add to it what isn't in it; all or nothing."""
+        take, earlier = uuid.uuid4().int >> 66, [t for other, (t, _) in self.taken().items() if other < load]
+        path, found_at = f"{folder}/load={load}", f"{self.folder}/found/take={take}"
+        signed = self.spark.read.schema(SIGNED).parquet(path) if exists(self.spark, path) else self.spark.createDataFrame([], SIGNED)
+        fresh = signed
+        if earlier:
+            index, texts = self.spark.table(self.keys).where(F.col("take").isin(earlier)), self._texts(earlier)
+            met = stage(_met(index, _packed(signed, self.numbers).withColumn("load", F.lit(load))), "met")
+            _similar(met, signed, texts).write.parquet(found_at)
+            unstage(met)
+            # of texts with the same grams one is enough to find whatever is similar
+            fresh = signed.join(self.spark.read.schema(FOUND).parquet(found_at).where("similarity = 1").select(F.col("a").alias("id")).distinct(), "id", "left_anti")
+        else:
+            self.spark.createDataFrame([], FOUND).write.parquet(found_at)
+        own = _packed(fresh, self.numbers).withColumns({"load": F.lit(load), "take": F.lit(take)}).select(*PACKED, "take")
+        keys = own.repartition(self.buckets, "bucket").write.mode("append").format("parquet").bucketBy(self.buckets, "bucket").option("path", f"{self.folder}/keys")
+        with ThreadPoolExecutor(2) as pool:
+            for part in [pool.submit(fresh.drop("keys").write.parquet, f"{self.folder}/texts/take={take}"), pool.submit(keys.saveAsTable, self.keys)]:
+                part.result()
+        mark(self.spark, f"{self.folder}/taken/{load}-{take}-{folder.rsplit('/', 2)[1]}")
+
+    def found(self, loads: list[int]) -> DataFrame:
+        """``id, first_id, similarity`` of the loads, as taken."""
+        taken = self.taken()
+        pairs = self.spark.read.schema(FOUND).parquet(*[f"{self.folder}/found/take={taken[load][0]}" for load in loads])
+        best = pairs.groupBy("a").agg(F.min(F.struct("b", "similarity")).alias("x"))
+        paths = [path for load in loads if exists(self.spark, path := f"{self.folder}/members/{taken[load][1]}/load={load}")]
+        members = self.spark.read.schema(MEMBERS).parquet(*paths) if paths else self.spark.createDataFrame([], MEMBERS)
+        return members.join(best.withColumnRenamed("a", "rep"), "rep").groupBy("id").agg(F.min("x").alias("x")).select("id", F.col("x.b").alias("first_id"), "x.similarity")
+
+    def _texts(self, takes: list[int]) -> DataFrame:
+        return self.spark.read.schema(TEXTS).parquet(*[f"{self.folder}/texts/take={t}" for t in takes])
+
+
+def _similar(met: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
+    """``a, b, similarity``: of new texts ``a`` similar ones ``b`` of the history, some at least for each that has any.
+
+    Each text meets the earliest one of each of its keys, and what that finds needs no more. Only texts still without a partner meet
+    all others with their keys, so that a large group of near copies isn't paired with itself. Where the others are no more than a
+    few times the first ones, all are compared at once. The pair of a text and its copy is always found.
+    """
+    n = {r["kind"]: r["count"] for r in met.groupBy("kind").count().collect()}
+    kind = lambda k: met.where(f"kind = {k}").select("a", "b")
+    if 2 not in n and n.get(1, 0) <= 4 * n.get(0, 0):
+        return _verified(kind(0).unionByName(kind(1)), signed, texts, sum(n.values()))
+    first = stage(_verified(kind(0), signed, texts, n[0]), "first")
+    tiles = met.where("kind = 2").select("tile", "a").join(met.where("kind = 3").select("tile", "b"), "tile").select("a", "b")
+    return first.unionByName(_verified(kind(1).unionByName(tiles).join(first.select("a").distinct(), "a", "left_anti"), signed, texts))
+
+
+def _signed(rows: DataFrame) -> DataFrame:
+    """``SIGNED`` and ``load`` of ``rows`` (``id, load, salt, h1, h2, text``); the last key is that of the whole text."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunked(batches, ROWS):
+            sample, sizes, _ = samples([compact(t) for t in texts_of(batch.column(5))])
+            salt, h1, h2 = (batch.column(c).to_numpy().view(np.uint64) for c in (2, 3, 4))
+            keys = np.column_stack([subset_keys(sample, salt).view(np.uint64), mix(mix(salt ^ h1) ^ h2)])
+            made = [batch.column(0), pa.array(sizes.astype(np.int32)), *map(pa.array, prints(sample).T), batch.column(5), pa.array([k.tobytes() for k in keys], pa.binary()), batch.column(1)]
+            yield pa.RecordBatch.from_arrays(made, names=[*(c.split()[0] for c in SIGNED.split(", ")), "load"])
+
+    return rows.select("id", "load", *TEXT_KEY, "text").mapInArrow(run, f"{SIGNED}, load int")
+
+
+def _packed(signed: DataFrame, numbers: np.ndarray) -> DataFrame:
+    """``bucket, base, ids, keys``: of each batch of texts the keys of each bucket, four bytes each, and whose they are.
+
+    Ids are stored as differences from ``base``, in as few bytes as the largest needs.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64)
+            bucket = ((keys >> np.uint64(32)) % np.uint64(len(numbers))).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            low, ids = keys.astype(np.uint32)[order], np.repeat(batch.column(0).to_numpy(), OWN_KEYS)[order]
+            base = ids.min()
+            ids = (ids.view(np.uint64) - base.view(np.uint64)).astype(np.min_scalar_type(int(ids.max()) - int(base)))
+            cuts = np.searchsorted(bucket[order], np.arange(len(numbers) + 1)).tolist()
+            parts = [(a, b) for a, b in zip(cuts, cuts[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array([int(base)] * len(parts), pa.int64()), pa.array([ids[a:b].tobytes() for a, b in parts], pa.binary()), pa.array([low[a:b].tobytes() for a, b in parts], pa.binary())], names=["bucket", "base", "ids", "keys"])
+
+    return signed.select("id", "keys").mapInArrow(run, "bucket int, base long, ids binary, keys binary")
+
+
+def _unpacked(side: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Load, keys and ids of each packed row."""
+    for load, base, ids, keys in zip(*(side.column(c).to_pylist() for c in ("load", "base", "ids", "keys"))):
+        low = np.frombuffer(keys, np.uint32)
+        if len(low):
+            yield load, low, np.frombuffer(ids, f"u{len(ids) // len(low)}").astype(np.int64) + base
+
+
+def _lists(old: pa.Table, new: pa.Table) -> tuple[np.ndarray, ...] | None:
+    """The keys both sides of a bucket have: starts and lengths of their lists of new and of old ids, and these ids.
+
+    Old ids of a key are in the order they came in. A bit for each key of the batch leaves out nearly all keys of the history.
+    """
+    mine = [(k, i) for _, k, i in _unpacked(new)]
+    if not mine or not old.num_rows:
+        return None
+    keys, ids = (np.concatenate(x) for x in zip(*mine))
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    first = np.concatenate([[True], (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])])
+    keys, ids = keys[first], ids[first]
+    values, starts, sizes = np.unique(keys, return_index=True, return_counts=True)
+    low = np.uint32((1 << (16 * len(values) - 1).bit_length()) - 1 & 0xFFFFFFFF)
+    has = np.zeros(int(low) + 1, bool)
+    has[values & low] = True
+    hits = []
+    for load, k, i in _unpacked(old):
+        maybe = has[k & low]
+        k, i = k[maybe], i[maybe]
+        at = np.minimum(np.searchsorted(values, k), len(values) - 1)
+        ok = values[at] == k
+        hits.append((at[ok], np.full(ok.sum(), load), i[ok]))
+    at, loads, theirs = (np.concatenate(x) for x in zip(*hits))
+    if not len(at):
+        return None
+    order = np.lexsort((theirs, loads, at))
+    at, theirs = at[order], theirs[order]
+    both, old_starts, old_sizes = np.unique(at, return_index=True, return_counts=True)
+    return starts[both], sizes[both], ids, old_starts, old_sizes, theirs
+
+
+def _met(old: DataFrame, new: DataFrame) -> DataFrame:
+    """``kind, tile, a, b``: ids of the batch and of the history that share a key.
+
+    Kind 0: each id with the first one of the history that has the key. Kind 1: with the others, if the key's lists are short.
+    Long lists come out as tiles, kind 2 their ids of the batch and kind 3 those of the history, so that a hot key is spread and
+    what leaves a bucket is no longer than the lists.
+    """
+
+    def meet(key: tuple, old: pa.Table, new: pa.Table) -> pa.Table:
+        parts: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+        if (found := _lists(old, new)) is not None:
+            starts, sizes, ids, old_starts, old_sizes, theirs = found
+            none = lambda x: np.zeros(len(x), np.int64)
+            each = np.concatenate([ids[s : s + n] for s, n in zip(starts.tolist(), sizes.tolist())])
+            parts.append((0, *_pairs(each, np.repeat(theirs[old_starts], sizes))))
+            rest = old_sizes - 1
+            light = (rest > 0) & (sizes * rest <= 4 * (sizes + rest))
+            s, t, m = starts[light], old_starts[light] + 1, rest[light]
+            n = sizes[light] * m
+            place, width = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n), np.repeat(m, n)
+            parts.append((1, *_pairs(ids[np.repeat(s, n) + place // width], theirs[np.repeat(t, n) + place % width])))
+            for k in np.flatnonzero((rest > 0) & ~light).tolist():
+                left, right = ids[starts[k] : starts[k] + sizes[k]], theirs[old_starts[k] + 1 : old_starts[k] + old_sizes[k]]
+                for x in range(0, len(left), TILE):
+                    for y in range(0, len(right), TILE):
+                        number = np.int64(key[0].as_py()) << 40 | len(parts)
+                        a, b = left[x : x + TILE], right[y : y + TILE]
+                        parts += [(2, np.full(len(a), number), a, none(a)), (3, np.full(len(b), number), none(b), b)]
+        columns = [np.concatenate([np.full(len(p[1]), p[0], np.int32) for p in parts] or [np.empty(0, np.int32)]), *(np.concatenate([p[c] for p in parts] or [np.empty(0, np.int64)]) for c in (1, 2, 3))]
+        return pa.table(dict(zip(("kind", "tile", "a", "b"), map(pa.array, columns))))
+
+    return old.select(*PACKED).groupBy("bucket").cogroup(new.select(*PACKED).groupBy("bucket")).applyInArrow(meet, "kind int, tile long, a long, b long")
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Tile 0, and each pair once."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    first = np.ones(len(a), bool)
+    first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return np.zeros(first.sum(), np.int64), a[first], b[first]
+
+
+def _verified(met: DataFrame, signed: DataFrame, texts: DataFrame, most: int | None = None) -> DataFrame:
+    """``a, b, similarity`` of the pairs that are similar; texts are read for plausible ones only. ``most``: pairs there are at most."""
+    pairs, likely = met.distinct().join(signed.select(F.col("id").alias("a"), "size", *PRINTS), "a"), plausible(F.col("size"), F.col("sb"))
+    other = texts.select(F.col("id").alias("b"), F.col("size").alias("sb"), *(F.col(p).alias(q) for p, q in zip(PRINTS, OTHERS)), F.col("text").alias("tb"))
+    if most is None or most > common.BROADCAST_ROWS:
+        pairs = stage(pairs, "pairs")
+        most = pairs.count()
+    if most > common.BROADCAST_ROWS:  # too many to be sent to the texts: their prints go to the pairs, and what is left to the texts
+        left = stage(other.drop("tb").join(pairs, "b").where(likely).select("a", "b"), "likely")
+        close = other.select("b", "tb").join(few(left, left.count()), "b")
+    else:
+        close = other.join(F.broadcast(pairs), "b").where(likely)
+    return compared(close.select("a", "b", "tb").join(signed.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a"))
+
+
+def repeats(samples: DataFrame, id_col: str, load_col: str, category_col: str, text_col: str, buckets: int = 12) -> DataFrame:
+    """``id, first_id, similarity``: rows that repeat one of an earlier load, each load taken in as a delivery of its own.
+
+    Repeated rows of an id count once; ids and loads are integers; rows without a load are left out; other columns are ignored.
     """
     spark = samples.sparkSession
-    rows = only(samples, id=F.col(id_col).cast("long"), load=F.col(load_col).cast("int"), category=category_col, text=text_col)
-    index, out = History(spark, buckets), None
-    for first, last in waves:
-        batch = rows.where(F.col("load").between(first, last))
-        if batch.isEmpty():
-            continue
-        part = index.take(batch, rows.where(F.col("load") <= last))
-        out = part if out is None else out.unionByName(part)
-    index.close(delete=True)  # what was found is written
-    return out if out is not None else spark.createDataFrame([], "id long, first_id long, similarity double")
+    index = History(spark, buckets)
+    folder = index.sign(only(samples, id=F.col(id_col).cast("long"), load=F.col(load_col).cast("int"), category=category_col, text=text_col))
+    loads = sorted(int(name.partition("=")[2]) for name in listed(spark, folder) if name.startswith("load="))
+    for load in loads:
+        index.take_signed(folder, load)
+        remove(spark, f"{folder}/load={load}")
+    out = index.found(loads) if loads else spark.createDataFrame([], "id long, first_id long, similarity double")
+    index.close(delete=True)
+    return out
