@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +19,17 @@ from pyspark.sql import functions as F
 
 from tsumugi.llm import common
 from tsumugi.llm.codes import mix
-from tsumugi.llm.common import WHITE, exists, few, listed, mark, new_folder, only, remove, stage, unstage
+from tsumugi.llm.common import compacted, exists, few, listed, mark, new_folder, only, remove, stage, unstage
 from tsumugi.llm.shingles import CHOSEN, ELEMENTS, GRAM, LEAST_CHARS, OTHERS, PRINTS, ROWS, chunked, compact, compared, plausible, prints, samples, subset_keys, texts_of
 
 #: Keys of a text: those of its subsets and that of its whole.
 OWN_KEYS = ELEMENTS // CHOSEN + 1
 #: Rows of a key's two lists that one task crosses.
 TILE = 1024
+#: Texts in a file, about.
+FILE_ROWS = 50_000
+#: A row with a text stands for so many narrow ones.
+WIDE = 20
 TEXT_KEY = ["salt", "h1", "h2"]
 TEXTS = "id long, size int, " + "".join(f"{p} long, " for p in PRINTS) + "text string"
 SIGNED = f"{TEXTS}, keys binary"
@@ -41,7 +44,7 @@ class History:
     The number of buckets is for the size the history will have: a bucket's keys (six to twelve bytes each) must fit into a task.
     """
 
-    def __init__(self, spark: SparkSession, buckets: int = 12, folder: str | None = None) -> None:
+    def __init__(self, spark: SparkSession, buckets: int = 6, folder: str | None = None) -> None:
         """Open the index in ``folder``, a folder all executors share; a new one where there is none or ``folder`` isn't given.
 
         An index is opened with the number of buckets it was made with.
@@ -81,13 +84,13 @@ class History:
 
         In it, by load, are the distinct texts with their prints and keys, and which ids have each text.
         """
-        folder, stripped = new_folder(self.spark, "signed"), F.regexp_replace("text", f"{WHITE}+", "")
+        folder, stripped = new_folder(self.spark, "signed"), compacted(F.col("text"))
         rows = samples.where(F.col("load").isNotNull() & F.col("category").isNotNull() & (F.length("text") >= LEAST_CHARS)).select(F.col("id").cast("long").alias("id"), F.col("load").cast("int").alias("load"), F.xxhash64("category").alias("salt"), "text")
         light = rows.select("id", "load", "salt", F.xxhash64(F.lit(0), stripped).alias("h1"), F.xxhash64(F.lit(1), stripped).alias("h2"), F.length(stripped).alias("n")).where(F.col("n") >= GRAM)
         reps = stage(light.groupBy("load", *TEXT_KEY).agg(F.min("id").alias("rep")), "reps")
         members = light.join(reps, ["load", *TEXT_KEY]).select("id", "rep", "load").distinct()
         members.write.partitionBy("load").parquet(f"{self.folder}/members/{folder.rsplit('/', 2)[1]}")
-        one = rows.join(reps.withColumnRenamed("rep", "id"), ["id", "load", "salt"]).dropDuplicates(["id", "load"])
+        one = rows.join(reps.withColumnRenamed("rep", "id"), ["id", "load", "salt"]).dropDuplicates(["id", "load", "salt"])
         _signed(one).write.partitionBy("load").parquet(folder)
         unstage(reps)
         return folder
@@ -97,21 +100,20 @@ class History:
         take, earlier = uuid.uuid4().int >> 66, [t for other, (t, _) in self.taken().items() if other < load]
         path, found_at = f"{folder}/load={load}", f"{self.folder}/found/take={take}"
         signed = self.spark.read.schema(SIGNED).parquet(path) if exists(self.spark, path) else self.spark.createDataFrame([], SIGNED)
-        fresh = signed
+        fresh, n = signed, signed.count()
+        own = _packed(signed, self.numbers).withColumns({"load": F.lit(load), "take": F.lit(take)}).select(*PACKED, "take")
+        own.repartition(self.buckets, "bucket").write.mode("append").format("parquet").bucketBy(self.buckets, "bucket").option("path", f"{self.folder}/keys").saveAsTable(self.keys)
         if earlier:
-            index, texts = self.spark.table(self.keys).where(F.col("take").isin(earlier)), self._texts(earlier)
-            met = stage(_met(index, _packed(signed, self.numbers).withColumn("load", F.lit(load))), "met")
-            _similar(met, signed, texts).write.parquet(found_at)
+            index, texts = self.spark.table(self.keys), self._texts(earlier)
+            met = stage(_met(index.where(F.col("take").isin(earlier)), index.where(F.col("take") == take)), "met")
+            _similar(met, signed, n, texts).write.parquet(found_at)
             unstage(met)
-            # of texts with the same grams one is enough to find whatever is similar
-            fresh = signed.join(self.spark.read.schema(FOUND).parquet(found_at).where("similarity = 1").select(F.col("a").alias("id")).distinct(), "id", "left_anti")
+            # of texts with the same grams one is enough to find whatever is similar; keys of the others lead nowhere
+            copies = self.spark.read.schema(FOUND).parquet(found_at).where("similarity = 1").select(F.col("a").alias("id")).distinct()
+            fresh = signed.join(few(copies, n), "id", "left_anti")
         else:
             self.spark.createDataFrame([], FOUND).write.parquet(found_at)
-        own = _packed(fresh, self.numbers).withColumns({"load": F.lit(load), "take": F.lit(take)}).select(*PACKED, "take")
-        keys = own.repartition(self.buckets, "bucket").write.mode("append").format("parquet").bucketBy(self.buckets, "bucket").option("path", f"{self.folder}/keys")
-        with ThreadPoolExecutor(2) as pool:
-            for part in [pool.submit(fresh.drop("keys").write.parquet, f"{self.folder}/texts/take={take}"), pool.submit(keys.saveAsTable, self.keys)]:
-                part.result()
+        fresh.drop("keys").coalesce(1 + n // FILE_ROWS).write.parquet(f"{self.folder}/texts/take={take}")  # few files, as each later take opens them all
         mark(self.spark, f"{self.folder}/taken/{load}-{take}-{folder.rsplit('/', 2)[1]}")
 
     def found(self, loads: list[int]) -> DataFrame:
@@ -127,8 +129,8 @@ class History:
         return self.spark.read.schema(TEXTS).parquet(*[f"{self.folder}/texts/take={t}" for t in takes])
 
 
-def _similar(met: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
-    """``a, b, similarity``: of new texts ``a`` similar ones ``b`` of the history, some at least for each that has any.
+def _similar(met: DataFrame, signed: DataFrame, rows: int, texts: DataFrame) -> DataFrame:
+    """``a, b, similarity``: of new texts ``a``, so many ``rows``, similar ones ``b`` of the history, some at least for each that has any.
 
     Each text meets the earliest one of each of its keys, and what that finds needs no more. Only texts still without a partner meet
     all others with their keys, so that a large group of near copies isn't paired with itself. Where the others are no more than a
@@ -137,10 +139,11 @@ def _similar(met: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
     n = {r["kind"]: r["count"] for r in met.groupBy("kind").count().collect()}
     kind = lambda k: met.where(f"kind = {k}").select("a", "b")
     if 2 not in n and n.get(1, 0) <= 4 * n.get(0, 0):
-        return _verified(kind(0).unionByName(kind(1)), signed, texts, sum(n.values()))
-    first = stage(_verified(kind(0), signed, texts, n[0]), "first")
+        return _verified(kind(0).unionByName(kind(1)), signed, rows, texts, sum(n.values()))
+    first = stage(_verified(kind(0), signed, rows, texts, n[0]), "first")
     tiles = met.where("kind = 2").select("tile", "a").join(met.where("kind = 3").select("tile", "b"), "tile").select("a", "b")
-    return first.unionByName(_verified(kind(1).unionByName(tiles).join(first.select("a").distinct(), "a", "left_anti"), signed, texts))
+    others = kind(1).unionByName(tiles).join(few(first.select("a").distinct(), rows), "a", "left_anti")
+    return first.unionByName(_verified(others, signed, rows, texts))
 
 
 def _signed(rows: DataFrame) -> DataFrame:
@@ -264,22 +267,27 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
     return np.zeros(first.sum(), np.int64), a[first], b[first]
 
 
-def _verified(met: DataFrame, signed: DataFrame, texts: DataFrame, most: int | None = None) -> DataFrame:
-    """``a, b, similarity`` of the pairs that are similar; texts are read for plausible ones only. ``most``: pairs there are at most."""
-    pairs, likely = met.distinct().join(signed.select(F.col("id").alias("a"), "size", *PRINTS), "a"), plausible(F.col("size"), F.col("sb"))
+def _verified(met: DataFrame, signed: DataFrame, rows: int, texts: DataFrame, most: int | None = None) -> DataFrame:
+    """``a, b, similarity`` of the pairs that are similar; texts of either side are moved for plausible pairs only.
+
+    ``most``: pairs there are at most. A side is sent to the other if it is small; else both are shuffled.
+    """
+    own = few(signed.select(F.col("id").alias("a"), "size", *PRINTS), rows)
+    pairs, likely = met.distinct().join(own, "a"), plausible(F.col("size"), F.col("sb"))
     other = texts.select(F.col("id").alias("b"), F.col("size").alias("sb"), *(F.col(p).alias(q) for p, q in zip(PRINTS, OTHERS)), F.col("text").alias("tb"))
     if most is None or most > common.BROADCAST_ROWS:
         pairs = stage(pairs, "pairs")
         most = pairs.count()
-    if most > common.BROADCAST_ROWS:  # too many to be sent to the texts: their prints go to the pairs, and what is left to the texts
+    if most > common.BROADCAST_ROWS:
         left = stage(other.drop("tb").join(pairs, "b").where(likely).select("a", "b"), "likely")
         close = other.select("b", "tb").join(few(left, left.count()), "b")
     else:
         close = other.join(F.broadcast(pairs), "b").where(likely)
-    return compared(close.select("a", "b", "tb").join(signed.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a"))
+    close = stage(close.select("a", "b", "tb"), "close")
+    return compared(signed.select(F.col("id").alias("a"), F.col("text").alias("ta")).join(few(close, close.count() * WIDE), "a"))
 
 
-def repeats(samples: DataFrame, id_col: str, load_col: str, category_col: str, text_col: str, buckets: int = 12) -> DataFrame:
+def repeats(samples: DataFrame, id_col: str, load_col: str, category_col: str, text_col: str, buckets: int = 6) -> DataFrame:
     """``id, first_id, similarity``: rows that repeat one of an earlier load, each load taken in as a delivery of its own.
 
     Repeated rows of an id count once; ids and loads are integers; rows without a load are left out; other columns are ignored.
