@@ -80,6 +80,26 @@ def test_reworded_item(spark):
     assert [(r["doc"], r["item"], r["verbatim"]) for r in found] == [(1, 3, False)] and found[0]["lcs_share"] > 0.95
 
 
+@pytest.mark.parametrize("length", [60, 300, 1000])
+def test_reworded_items_of_any_length(spark, length):
+    """Also a part of a long item that is reworded, within a long document."""
+    rng = random.Random(length)
+    items = [(i, sentence(rng, length // 8 + 2)[:length]) for i in range(12)]
+    reword = lambda t: "".join(c + ("ね" if k % 23 == 22 else "") for k, c in enumerate(t))
+    around = lambda: "".join(sentence(rng, 5) for _ in range(20))
+    documents = [(i, around() + reword(t) + around()) for i, t in items] + [(100 + i, around() + reword(t[length // 3 : length // 3 + 260]) + around()) for i, t in items if length > 600] + [(200, around())]
+    found = leaks.leaks(spark.createDataFrame(documents, "doc_id bigint, text string"), "doc_id", "text", spark.createDataFrame(items, "item_id bigint, text string"), "item_id", "text").collect()
+    assert {(r["doc"], r["item"]) for r in found} == {(d, d % 100) for d, _ in documents if d < 200}
+    assert not any(r["verbatim"] for r in found)
+
+
+def test_pieces_cover_items():
+    for n in (0, 1, 160, 161, 240, 1000):
+        pieces = leaks.pieces_of(n)
+        assert pieces[0][0] == 0 and pieces[-1][1] == n and all(b - a == min(n, leaks.PIECE) for a, b in pieces)
+        assert all(0 < c - a <= leaks.PIECE // 2 for (a, _), (c, _) in zip(pieces, pieces[1:]))
+
+
 def test_nothing_to_compare(spark, data):
     docs, items = (spark.createDataFrame(x, s) for x, s in zip(data, ("doc_id bigint, text string", "item_id bigint, text string")))
     assert leaks.leaks(docs.limit(0), "doc_id", "text", items, "item_id", "text").count() == 0
