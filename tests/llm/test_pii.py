@@ -33,8 +33,20 @@ FOUND = [
     ("マサゴブチ トウマ様あて", "[name]様あて"),
     ("Ms. Itto Mizushino は", "[name] は"),
     ("（文責・千種浦）", "（文責・[name]）"),
+    ("田中太郎（34）は退職した。", "[name]（34）は退職した。"),
+    ("中村浩二（４１歳）を採用", "[name]（４１歳）を採用"),
+    ("代表の佐藤健一が語った。", "代表の[name]が語った。"),
+    ("問い合わせ先：鈴木 一郎（総務部）", "問い合わせ先：[name]（総務部）"),
+    ("私は高橋です。", "私は[name]です。"),
+    ("伊藤課長が", "[name]課長が"),
+    ("加藤美咲先生", "[name]先生"),
+    ("渡辺君は", "[name]君は"),
+    ("社長 小林誠", "社長 [name]"),
+    ("０３ー１２３４ー５６７８", "[phone]"),
+    ("電話は零三・一二三四・五六七八です", "電話は[phone]です"),
+    ("taro あっと example ドットコム", "[email]"),
 ]
-KEPT = ["単価は@412円で据え置く。", "公式アカウント@nagi_040 で告知した。", "法人番号は9873636979801である。", "伝票番号は4853-2655-3085だった。", "受付番号2031-3285-8468で管理する。", "口径62-13-4769の管を使う。", "担当者さんの声も掲載した。", "お客様と皆様", "当面は様子を見る構えだ。", "緑沢浦商事も会合に加わった。", "碧原県灯坂町の拠点で", "2024-05-01と12.5％", "型番はRT-5669-7576に統一した。", "新任取締役の改善余地は継続的だ。", "氏名は伏せた。", "同様の仕様で多様な模様", "", "  "]
+KEPT = ["山田工業社長は", "林業課長は", "森林部長", "資料(12)は", "松本市部長", "田中商店（3）の", "コーヒー", "単価は@412円で据え置く。", "公式アカウント@nagi_040 で告知した。", "法人番号は9873636979801である。", "伝票番号は4853-2655-3085だった。", "受付番号2031-3285-8468で管理する。", "口径62-13-4769の管を使う。", "担当者さんの声も掲載した。", "お客様と皆様", "当面は様子を見る構えだ。", "緑沢浦商事も会合に加わった。", "碧原県灯坂町の拠点で", "2024-05-01と12.5％", "型番はRT-5669-7576に統一した。", "新任取締役の改善余地は継続的だ。", "氏名は伏せた。", "同様の仕様で多様な模様", "", "  "]
 
 
 @pytest.mark.parametrize("text,expected", FOUND)

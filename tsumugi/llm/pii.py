@@ -26,6 +26,9 @@ SPELLED = {"ゼロ": "0", "マル": "0", "レイ": "0", "イチ": "1", "サン":
 KANJI_DIGITS = dict(zip("〇零一二三四五六七八九", "00123456789"))
 
 
+LONG_MARK = re.compile("(?<=[0-9])ー(?=[0-9])")
+
+
 @lru_cache(1)
 def folds() -> dict[int, str]:
     """Replacements of one character by one."""
@@ -40,8 +43,8 @@ def _folding() -> re.Pattern:
 
 
 def folded(text: str) -> str:
-    """``text`` with one character for one; most texts have few to replace."""
-    return _folding().sub(lambda m: folds()[ord(m[0])], text)
+    """``text`` with one character for one; most texts have few to replace. A long mark between digits is a dash."""
+    return LONG_MARK.sub("-", _folding().sub(lambda m: folds()[ord(m[0])], text))
 
 
 @lru_cache(1)
@@ -52,7 +55,7 @@ def _simple() -> re.Pattern:
 
 
 #: Signs of disguises and spelled digits.
-DISGUISE = re.compile("アット|ドット| at | dot |[\\[({（［【<＜]\\s?(?:at|AT|ａｔ|dot|DOT)|[〇零一二三四五六七八九ー・（）()-]{9}|(?:ゼロ|マル|レイ|サン|ヨン|ロク|ナナ|ハチ|キュウ|イチ|ニー?|ゴー?)(?:[・ 、-]?(?:ゼロ|マル|レイ|サン|ヨン|ロク|ナナ|ハチ|キュウ|イチ|ニー?|ゴー?)){3}")
+DISGUISE = re.compile("アット|あっと|ドット| at | dot |[\\[({（［【<＜]\\s?(?:at|AT|ａｔ|dot|DOT)|[〇零一二三四五六七八九ー・（）()-]{9}|(?:ゼロ|マル|レイ|サン|ヨン|ロク|ナナ|ハチ|キュウ|イチ|ニー?|ゴー?)(?:[・ 、-]?(?:ゼロ|マル|レイ|サン|ヨン|ロク|ナナ|ハチ|キュウ|イチ|ニー?|ゴー?)){3}")
 
 
 @lru_cache(1)
@@ -62,7 +65,8 @@ def _unequal() -> re.Pattern:
     spelled = "|".join(sorted(SPELLED, key=len, reverse=True))
     return re.compile(
         rf"(?P<hidden>[{hidden}\U000E0000-\U000E01EF]+)|(?P<compose>[ｦ-ﾟ][ﾞﾟ]?|[⼀-⿕]|[ぁ-ヿ][゙゚])"
-        r"|(?P<at>\s?[\[({（［【<＜]\s?(?:at|AT|アット|アットマーク|ａｔ)\s?[\])}）］】>＞]\s?|(?<=[\w])(?:アットマーク|アット)(?=[A-Za-z])|(?<=[a-z0-9]) at (?=[a-z0-9-]+(?:\.| dot |\[dot\])))"
+        r"|(?P<at>\s?[\[({（［【<＜]\s?(?:at|AT|アット|アットマーク|ａｔ)\s?[\])}）］】>＞]\s?|(?<=[A-Za-z0-9]) ?あっと ?(?=[A-Za-z])|(?<=[\w])(?:アットマーク|アット)(?=[A-Za-z])|(?<=[a-z0-9]) at (?=[a-z0-9-]+(?:\.| dot |\[dot\])))"
+        r"|(?P<com>(?<=[A-Za-z0-9]) ?ドットコム)"
         r"|(?P<dot>\s?[\[({（［【]\s?(?:dot|DOT|ドット)\s?[\])}）］】]\s?|(?<=[A-Za-z0-9])ドット(?=[A-Za-z])|(?<=[a-z0-9]) dot (?=[a-z]))"
         rf"|(?P<spelled>(?:(?:{spelled})[・ 、-]?){{7,}})|(?P<kanji>[〇零一二三四五六七八九](?:[〇零一二三四五六七八九]|[-‐―－ー・（）()](?=[〇零一二三四五六七八九])){{8,}})"
     )
@@ -84,11 +88,11 @@ def normalise(text: str) -> tuple[str, list[int] | None, list[int] | None]:
                 begin.append(a + part.start())
                 end.append(a + part.end())
         elif kind == "kanji":
-            pieces.append("".join(KANJI_DIGITS.get(c, c) for c in m[0]))
+            pieces.append("".join(KANJI_DIGITS.get(c, "-" if c == "・" else c) for c in m[0]))
             begin.extend(range(a, b))
             end.extend(range(a + 1, b + 1))
         elif kind != "hidden":
-            out = {"at": "@", "dot": "."}.get(kind) or unicodedata.normalize("NFKC", m[0])
+            out = {"at": "@", "dot": ".", "com": ".com"}.get(kind) or unicodedata.normalize("NFKC", m[0])
             pieces.append(out)
             begin.extend([a] * len(out))
             end.extend([b] * len(out))
@@ -123,6 +127,12 @@ ADDRESS = re.compile(
 K = "[一-龥々ヶノ]"
 GLUED = rf"(?:{K}{{2,5}}[ぁ-ん]{{2,4}}|{K}{{2,8}})"
 KANA = r"[ァ-ヶー]{2,8}[ ・][ァ-ヶー]{2,8}"
+# Frequent family names.
+FAMILY = "佐藤 鈴木 高橋 田中 伊藤 渡辺 山本 中村 小林 加藤 吉田 山田 佐々木 山口 松本 井上 木村 林 斎藤 清水 山崎 森 池田 橋本 阿部 石川 山下 中島 石井 小川 前田 岡田 長谷川 藤田 後藤 近藤 村上 遠藤 青木 坂本 斉藤 福田 太田 西村 藤井 岡本 金子 藤原 三浦 中野 中川 原田 松田 竹内 小野 田村 中山 和田 石田 森田 上田 原 内田 柴田 酒井 宮崎 横山 高木 安藤 宮本 大野 小島 谷口 工藤 今井 高田 増田 丸山 杉山 村田 大塚 新井 小山 平野 藤本 河野 上野 野口 武田 松井 千葉 菅原 岩崎 久保 木下 佐野 野村 松尾 菊地 市川 杉本 古川 大西 島田 水野 桜井 渡部 高野 吉川 山内 西田 飯田 菊池 西川 小松 北村 安田 五十嵐 川口 平田 関 中田 久保田 服部 東 岩田 土屋 川崎 福島 本田 樋口 永井 秋山 中西 大島"
+FAMILY_NAME = rf"(?<!{K})(?:{'|'.join(sorted(FAMILY.split(), key=len, reverse=True))})"
+GIVEN = rf"(?: (?:{K}{{1,3}}|[ぁ-ん]{{2,4}})|{K}{{1,3}})"
+#: Titles after a name.
+TITLES = ("課長", "部長", "係長", "室長", "次長", "主任", "先生", "教授", "弁護士", "選手", "容疑者", "被告", "君")
 #: Words before さん and 様 that aren't names.
 NO_NAMES = "担当者|担当|患者|業者|店員|職員|記者|学生|客|皆|皆々|運転手|社員|役員|議員|作業員|利用者|生産者|農家|母|父|兄|姉|娘|息子|奥|旦那|孫|医者|看護師|会員|各位|読者|得意|取引先|子|王|神|殿|奥"
 #: What the text holds, and the name around it.
@@ -138,6 +148,13 @@ NAMES = [(hint, re.compile(p)) for hint, p in (
     ("書記", rf"書記[ :]+(?P<n>{K}{{2,5}}[ぁ-ん]{{2,4}}|{K}{{2,6}})"),
     ("文責", rf"文責[・: ]+(?P<n>{K}{{2,8}})(?=\))"),
     ("M", r"(?P<n>(?:Mr|Ms|Mrs|Miss)\.? ?[A-Z][a-z]+(?: [A-Z][a-z]+)?)"),
+    ("(", rf"(?P<n>{FAMILY_NAME}{GIVEN})(?<![店社部課室場所会院校市町村県])\((?:\d\d|1[01]\d|\d[歳才]|\d\d[歳才])\)(?=[はがをのもと、。])"),
+    *((title, rf"(?P<n>{FAMILY_NAME}(?: (?:{K}{{1,3}}|[ぁ-ん]{{2,4}}))?){title}(?!{K})") for title in TITLES),
+    ("先生", rf"(?P<n>{FAMILY_NAME}{K}{{2}})先生"),
+    ("代表", rf"代表の(?P<n>{FAMILY_NAME}{K}{{2}})(?=[はがも])"),
+    ("社長 ", rf"社長 (?P<n>{FAMILY_NAME}{K}{{1,3}})(?!{K})"),
+    ("先:", rf"(?:問い?合わ?せ|連絡)先: ?(?P<n>{FAMILY_NAME} {K}{{1,3}})(?!{K})"),
+    ("私は", rf"私は(?P<n>{FAMILY_NAME}(?:{K}{{2}})?)(?=です|と申)"),
     ("Dr", r"(?P<n>Dr\.? ?[A-Z][a-z]+(?: [A-Z][a-z]+)?)"),
 )]
 NO_NAME = re.compile(rf"(?:.*[ぁ-ん])?(?:お|御)?(?:{NO_NAMES})$")
