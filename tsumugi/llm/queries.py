@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsumugi.llm import near, sampling
-from tsumugi.llm.common import stage, table
+from tsumugi.llm.common import stage, table, trimmed
 from tsumugi.llm.history import repeats
 from tsumugi.llm.leaks import leaks
 from tsumugi.llm.pii import redact
@@ -19,9 +19,15 @@ from tsumugi.llm.tokenize import encode_corpus
 
 
 def _tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The category tree of the requests: category under its first allowed style under that style's tone; style under its tone."""
+    """The category tree of the requests: category under its style under that style's tone; style under its tone.
+
+    A category's style is the first one allowed, or else the preset most of its generated samples were asked for.
+    """
     preset = table(spark, sf_dir, "style_preset").select("name", "tone")
-    first = table(spark, sf_dir, "allowed_style").groupBy("category").agg(F.min_by("style", "pos").alias("name"))
+    allowed = table(spark, sf_dir, "allowed_style").groupBy("category").agg(F.min_by("style", "pos").alias("allowed"))
+    asked = table(spark, sf_dir, "augmented_data").select(trimmed(F.col("category")).alias("category"), F.col("prompt_style").alias("name")).where("category <> ''").groupBy("category", "name").agg(F.count("*").alias("n"))
+    usual = asked.join(preset, "name", "left_semi").groupBy("category").agg(F.min(F.struct((-F.col("n")).alias("n"), "name")).alias("x")).select("category", F.col("x.name").alias("usual"))
+    first = usual.join(allowed, "category", "full").select("category", F.coalesce("allowed", "usual").alias("name"))
     return first.join(preset, "name", "left").select(F.col("category").alias("stratum"), F.col("name").alias("parent"), F.col("tone").alias("grandparent")).unionByName(preset.select(F.col("name").alias("stratum"), F.col("tone").alias("parent"), F.lit("style").alias("grandparent")))
 
 
@@ -37,7 +43,7 @@ def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p1_report(spark, sf_dir).where("not met").select("request_id", "stratum")
+    return p1_report(spark, sf_dir).where("unmet > 0").select("request_id", "stratum")
 
 
 def p1_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +81,11 @@ def p4_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p4_pairs(spark, sf_dir).drop("by")
+
+
+def p4_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs, and whether the repair made them equal or, where the corpus has no form of a token, their shape."""
     return same_looking_pairs(unify(table(spark, sf_dir, "merged_person_categories"), "row_id", ["title", "body"]))
 
 

@@ -20,7 +20,7 @@ from tsumugi.llm.common import only, trimmed
 CELLS = 4096
 #: Requests of one table and field are a list in the plan; more of them are an error.
 MOST_REQUESTS = 1000
-REPORT = "request_id long, stratum string, parent string, grandparent string, sample_size long, target_share double, min_rows long, available long, required double, allocated long, received long, met boolean"
+REPORT = "request_id long, stratum string, parent string, grandparent string, sample_size long, target_share double, min_rows long, available long, required double, allocated long, received long, unmet double, met boolean"
 
 
 def whole_quotas(shares: pd.Series, total: int, caps: pd.Series) -> pd.Series:
@@ -74,8 +74,10 @@ def allocate(strata: pd.DataFrame) -> pd.DataFrame:
                 left = int(unmet[at].sum() - give.sum())
                 unmet[at] = whole_quotas(unmet[at].astype(float), left, unmet[at])
     s["allocated"], s["received"] = base, received
+    # what a stratum's own quota, before anything is passed on or received, leaves unmet
     s["required"] = [max(float(m), t * n) for m, t, n in zip(s.min_rows.fillna(0), share, s.sample_size)]
-    s["met"] = s.available >= s.required
+    s["unmet"] = (s.required - cap).clip(lower=0.0)
+    s["met"] = s.unmet <= 0
     return s
 
 
@@ -88,8 +90,8 @@ def sampling_report(counts: DataFrame, requests: DataFrame, targets: DataFrame,
     """What each stratum of each request has, needs and gets: the columns of ``REPORT``.
 
     ``counts``: ``request_id, stratum, available``. ``targets``: ``request_id, stratum, target_share, min_rows``; repeats count
-    once. ``tree``: ``stratum, parent, grandparent``; strata outside it are siblings of each other. ``met`` is false where the
-    rows don't suffice for the larger of ``min_rows`` and ``target_share * sample_size``.
+    once. ``tree``: ``stratum, parent, grandparent``; strata outside it are siblings of each other. ``unmet`` is by how many rows a
+    stratum falls short of the larger of ``min_rows`` and ``target_share * sample_size``; ``met`` tells that it doesn't.
     """
     tree = tree if tree is not None else counts.sparkSession.createDataFrame([], "stratum string, parent string, grandparent string")
     wanted = targets.select(F.col("request_id").cast("long").alias("request_id"), "stratum", F.col("target_share").cast("double").alias("target_share"), F.col("min_rows").cast("long").alias("min_rows")).where("stratum is not null").dropDuplicates(["request_id", "stratum"])

@@ -1,7 +1,7 @@
 """Problem 5: a varied subset, by systematic selection along a Hilbert curve.
 
-A record's place is its category's level and four projections of its body's trigrams, quantised by all rows' mean and spread.
-Near copies have nearly the same projections, so a recurring story, however large, fills few cells. The distinct cells are
+A record's place is its category's level, one of its own, and four projections of its body's trigrams, quantised by all rows' mean
+and spread, in levels so fine that a category has at least ``CELLS_A_ROW`` cells for each row asked for. Near copies have nearly the same projections, so a recurring story, however large, fills few cells. The distinct cells are
 sorted by their key on the curve; evenly spaced ones are chosen, and the best record of each.
 """
 
@@ -19,7 +19,8 @@ from tsumugi.llm.common import chunked, only, stage, texts_of, trimmed
 from tsumugi.llm.sampling import MOST_REQUESTS
 from tsumugi.llm.shingles import compact, text_hashes
 
-PROJECTIONS, LEVELS, BITS = 4, 4, 6
+#: Bits of an axis at most: a key has five axes.
+PROJECTIONS, CELLS_A_ROW, MOST_BITS = 4, 4, 12
 #: Cells with the same upper bits of the key are sorted together; there are so many such ranges.
 RANGES = 4096
 ROWS, SALTS = 500, 64
@@ -63,8 +64,17 @@ def projections(texts: list[str]) -> np.ndarray:
     return out
 
 
-def placed(df: DataFrame, id_col: str, text_col: str, category_col: str) -> DataFrame:
-    """``id, category, h1, h2, chars, key``: each id with a body that isn't blank, and its cell's key."""
+def fineness(size: int, categories: int) -> tuple[int, int]:
+    """Bits of the levels of a projection, and of a key's axis, for ``size`` rows to choose of so many categories."""
+    levels = min(MOST_BITS, max(2, -(-(CELLS_A_ROW * max(1, size) - 1).bit_length() // PROJECTIONS)))
+    return levels, max(levels, min(MOST_BITS, categories.bit_length()))
+
+
+def placed(df: DataFrame, id_col: str, text_col: str, category_col: str, size: int) -> tuple[DataFrame, int]:
+    """``id, category, h1, h2, chars, key``: each id with a body that isn't blank, and its cell's key; and a key's bits.
+
+    ``size``: rows that will be asked for. Categories beyond 2**``MOST_BITS`` share levels with their neighbours.
+    """
     source = only(df, id=F.col(id_col).cast("long"), text=text_col, category=trimmed(df[category_col])).where("id is not null and text is not null")
     names = [f"f{k}" for k in range(PROJECTIONS)]
 
@@ -79,18 +89,21 @@ def placed(df: DataFrame, id_col: str, text_col: str, category_col: str) -> Data
     features = stage(source.mapInArrow(project, "id long, category string, h1 long, h2 long, chars int, " + ", ".join(f"{n} double" for n in names)).dropDuplicates(["id"]), "features")
     stats = features.agg(*[F.avg(n) for n in names], *[F.stddev_pop(n) for n in names]).first()
     mean, spread = np.array([x or 0.0 for x in stats[:PROJECTIONS]]), np.array([x or 1.0 for x in stats[PROJECTIONS:]])
-    level = F.coalesce(F.pmod(F.xxhash64("category"), F.lit(1 << BITS)), F.lit(0)).cast("int")
+    labels = features.select("category").where("category is not null").distinct()
+    fine, bits = fineness(size, count := labels.count())
+    ranks = labels.withColumn("level", F.floor(F.row_number().over(Window.orderBy("category")) * F.lit(min(1.0, ((1 << bits) - 1) / max(1, count)))).cast("int"))  # labels are few
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             f = np.stack([batch.column(6 + k).to_numpy() for k in range(PROJECTIONS)], axis=1)
             z = (f - mean) / spread
             quantile = 1 / (1 + np.exp(-1.702 * z))  # close to the normal distribution function
-            levels = np.minimum((quantile * LEVELS).astype(np.int64), LEVELS - 1) * ((1 << BITS) // LEVELS)
-            key = hilbert(np.column_stack([batch.column(5).to_numpy(), levels]), BITS)
+            levels = np.minimum((quantile * (1 << fine)).astype(np.int64), (1 << fine) - 1) << (bits - fine)
+            key = hilbert(np.column_stack([batch.column(5).to_numpy(), levels]), bits)
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(key)], names=["id", "category", "h1", "h2", "chars", "key"])
 
-    return features.select("id", "category", "h1", "h2", "chars", level.alias("level"), *names).mapInArrow(encode, "id long, category string, h1 long, h2 long, chars int, key long")
+    full = features.join(ranks, "category", "left").select("id", "category", "h1", "h2", "chars", F.coalesce("level", F.lit(0)).alias("level"), *names)
+    return full.mapInArrow(encode, "id long, category string, h1 long, h2 long, chars int, key long"), bits
 
 
 def varied_subsets(df: DataFrame, id_col: str, text_col: str, category_col: str, requests: DataFrame) -> DataFrame:
@@ -106,7 +119,8 @@ def varied_subsets(df: DataFrame, id_col: str, text_col: str, category_col: str,
         raise ValueError(f"more than {MOST_REQUESTS} requests")
     kind = "array<struct<request_id:bigint,wanted:string,size:bigint>>"
     listed = F.from_json(F.lit("[" + ",".join(f'{{"request_id":{r[0]},"wanted":{_json(r[1])},"size":{r[2]}}}' for r in sorted(asked, key=lambda r: r[0])) + "]"), kind)
-    rows = stage(placed(df, id_col, text_col, category_col), "placed")
+    rows, bits = placed(df, id_col, text_col, category_col, max([r[2] for r in asked], default=1))
+    rows = stage(rows, "placed")
     first = rows.groupBy("h1", "h2").agg(F.min("id").alias("first_id"))
     quality = F.least("chars", F.lit(600))
     ranked = rows.join(first, ["h1", "h2"]).select("id", "category", "key", F.struct((F.col("id") != F.col("first_id")).alias("copy"), (-quality).alias("q"), F.col("id").alias("id")).alias("order"))
@@ -114,7 +128,7 @@ def varied_subsets(df: DataFrame, id_col: str, text_col: str, category_col: str,
     cells = stage(wide.groupBy("request_id", "size", "key").agg(F.count("*").alias("n"), F.min("order").alias("best")), "cells")
 
     # rank of each cell along the curve: cells of earlier ranges, then those before it in its own
-    span = F.lit((1 << BITS * (PROJECTIONS + 1)) // RANGES)
+    span = F.lit(max(1, (1 << bits * (PROJECTIONS + 1)) // RANGES))
     ranged = cells.withColumn("range", F.floor(F.col("key") / span))
     before = Window.partitionBy("request_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # at most RANGES rows
     starts = ranged.groupBy("request_id", "range").agg(F.count("*").alias("m")).withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0))).select("request_id", "range", "before")
