@@ -78,11 +78,6 @@ def few(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def compacted(col: Column) -> Column:
-    """``col`` without white space, as ``str.split`` sees it; by a table of characters, which is far cheaper than a pattern."""
-    return F.translate(col, "".join(c for c in map(chr, range(0x3001)) if c.isspace()), "")
-
-
 def trimmed(col: Column) -> Column:
     """``col`` without white space of any kind around it."""
     return F.regexp_replace(col, f"^{WHITE}+|{WHITE}+$", "")

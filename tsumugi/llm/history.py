@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from tsumugi.llm import common
 from tsumugi.llm.codes import mix
-from tsumugi.llm.common import compacted, exists, few, listed, mark, new_folder, only, remove, stage, unstage
-from tsumugi.llm.shingles import CHOSEN, ELEMENTS, GRAM, LEAST_CHARS, OTHERS, PRINTS, ROWS, chunked, compact, compared, plausible, prints, samples, subset_keys, texts_of
+from tsumugi.llm.common import exists, few, listed, mark, new_folder, only, remove, stage, unstage
+from tsumugi.llm.shingles import CHOSEN, ELEMENTS, LEAST_CHARS, OTHERS, PRINTS, ROWS, chunked, compact, compared, plausible, prints, samples, subset_keys, texts_of
 
 #: Keys of a text: those of its subsets and that of its whole.
 OWN_KEYS = ELEMENTS // CHOSEN + 1
@@ -84,9 +84,9 @@ class History:
 
         In it, by load, are the distinct texts with their prints and keys, and which ids have each text.
         """
-        folder, stripped = new_folder(self.spark, "signed"), compacted(F.col("text"))
+        folder = new_folder(self.spark, "signed")
         rows = samples.where(F.col("load").isNotNull() & F.col("category").isNotNull() & (F.length("text") >= LEAST_CHARS)).select(F.col("id").cast("long").alias("id"), F.col("load").cast("int").alias("load"), F.xxhash64("category").alias("salt"), "text")
-        light = rows.select("id", "load", "salt", F.xxhash64(F.lit(0), stripped).alias("h1"), F.xxhash64(F.lit(1), stripped).alias("h2"), F.length(stripped).alias("n")).where(F.col("n") >= GRAM)
+        light = rows.select("id", "load", "salt", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
         reps = stage(light.groupBy("load", *TEXT_KEY).agg(F.min("id").alias("rep")), "reps")
         members = light.join(reps, ["load", *TEXT_KEY]).select("id", "rep", "load").distinct()
         members.write.partitionBy("load").parquet(f"{self.folder}/members/{folder.rsplit('/', 2)[1]}")
@@ -132,32 +132,31 @@ class History:
 def _similar(met: DataFrame, signed: DataFrame, rows: int, texts: DataFrame) -> DataFrame:
     """``a, b, similarity``: of new texts ``a``, so many ``rows``, similar ones ``b`` of the history, some at least for each that has any.
 
-    Each text meets the earliest one of each of its keys, and what that finds needs no more. Only texts still without a partner meet
-    all others with their keys, so that a large group of near copies isn't paired with itself. Where the others are no more than a
-    few times the first ones, all are compared at once. The pair of a text and its copy is always found.
+    Each text meets the earliest one of each of its keys, and the others where a key's lists are short. Only texts still without a
+    partner meet those of long lists, so that a large group of near copies isn't paired with itself. The pair of a text and its
+    copy is always found.
     """
     n = {r["kind"]: r["count"] for r in met.groupBy("kind").count().collect()}
-    kind = lambda k: met.where(f"kind = {k}").select("a", "b")
-    if 2 not in n and n.get(1, 0) <= 4 * n.get(0, 0):
-        return _verified(kind(0).unionByName(kind(1)), signed, rows, texts, sum(n.values()))
-    first = stage(_verified(kind(0), signed, rows, texts, n[0]), "first")
+    first = _verified(met.where("kind < 2").select("a", "b"), signed, rows, texts, n.get(0, 0) + n.get(1, 0))
+    if 2 not in n:
+        return first
+    first = stage(first, "first")
     tiles = met.where("kind = 2").select("tile", "a").join(met.where("kind = 3").select("tile", "b"), "tile").select("a", "b")
-    others = kind(1).unionByName(tiles).join(few(first.select("a").distinct(), rows), "a", "left_anti")
-    return first.unionByName(_verified(others, signed, rows, texts))
+    return first.unionByName(_verified(tiles.join(few(first.select("a").distinct(), rows), "a", "left_anti"), signed, rows, texts))
 
 
 def _signed(rows: DataFrame) -> DataFrame:
-    """``SIGNED`` and ``load`` of ``rows`` (``id, load, salt, h1, h2, text``); the last key is that of the whole text."""
+    """``SIGNED`` and ``load`` of ``rows`` (``id, load, salt, text``) with a gram; the last key is that of the text without white space."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunked(batches, ROWS):
-            sample, sizes, _ = samples([compact(t) for t in texts_of(batch.column(5))])
-            salt, h1, h2 = (batch.column(c).to_numpy().view(np.uint64) for c in (2, 3, 4))
-            keys = np.column_stack([subset_keys(sample, salt).view(np.uint64), mix(mix(salt ^ h1) ^ h2)])
-            made = [batch.column(0), pa.array(sizes.astype(np.int32)), *map(pa.array, prints(sample).T), batch.column(5), pa.array([k.tobytes() for k in keys], pa.binary()), batch.column(1)]
-            yield pa.RecordBatch.from_arrays(made, names=[*(c.split()[0] for c in SIGNED.split(", ")), "load"])
+            sample, sizes, whole = samples([compact(t) for t in texts_of(batch.column(3))])
+            salt = batch.column(2).to_numpy().view(np.uint64)
+            keys = np.column_stack([subset_keys(sample, salt).view(np.uint64), mix(mix(salt ^ whole[:, 0]) ^ whole[:, 1])])
+            made = [batch.column(0), pa.array(sizes.astype(np.int32)), *map(pa.array, prints(sample).T), batch.column(3), pa.array([k.tobytes() for k in keys], pa.binary()), batch.column(1)]
+            yield pa.RecordBatch.from_arrays(made, names=[*(c.split()[0] for c in SIGNED.split(", ")), "load"]).filter(pa.array(sizes > 0))
 
-    return rows.select("id", "load", *TEXT_KEY, "text").mapInArrow(run, f"{SIGNED}, load int")
+    return rows.select("id", "load", "salt", "text").mapInArrow(run, f"{SIGNED}, load int")
 
 
 def _packed(signed: DataFrame, numbers: np.ndarray) -> DataFrame:
@@ -278,6 +277,8 @@ def _verified(met: DataFrame, signed: DataFrame, rows: int, texts: DataFrame, mo
     if most is None or most > common.BROADCAST_ROWS:
         pairs = stage(pairs, "pairs")
         most = pairs.count()
+    if not most:
+        return signed.sparkSession.createDataFrame([], FOUND)
     if most > common.BROADCAST_ROWS:
         left = stage(other.drop("tb").join(pairs, "b").where(likely).select("a", "b"), "likely")
         close = other.select("b", "tb").join(few(left, left.count()), "b")
