@@ -61,3 +61,14 @@ def test_validate_gives_all_reasons_in_order(spark):
 
 def test_validate_empty(spark):
     assert validated(spark, [], []) == {}
+
+
+def test_similarity_is_skipped_by_the_category_the_model_reports(spark):
+    """Not by the one asked for: of two copies of a reference only that reported as of a skipped category passes."""
+    text = "".join(f"第{k}区の案は{k * 7}件の意見を受けて改めた。" for k in range(9))
+    rows = [(1, "設備", "速報", "題名は十文字以上あります", text, "設備"), (2, "設備", "速報", "題名は十文字以上あります", text, "債権譲渡"), (3, "債権譲渡", "速報", "題名は十文字以上あります", text, "設備")]
+    df = spark.createDataFrame(rows, "id bigint, category string, style string, title string, body string, model_category string")
+    refs = spark.createDataFrame([(7, "設備", text), (8, "債権譲渡", text)], "id bigint, category string, text string")
+    styles = spark.createDataFrame([], "name string, title_min int, title_max int, body_min int, body_max int")
+    got = {r["id"]: r["reasons"] for r in quality.validate(df, refs, styles).collect()}
+    assert got == {1: ["cosine", "ngram"], 2: [], 3: ["cosine", "ngram"]}

@@ -55,6 +55,38 @@ def test_representatives(spark, partitions):
     assert represent.representatives(spark.createDataFrame([], POINTS)).count() == 0
 
 
+def brute_central(pdf):
+    """Rows nearest to the k-means centres of each category, row by row."""
+    out = {}
+    for category, rows in pdf.sort_values("row_id").groupby("category"):
+        x = np.array(rows.vector.tolist(), float)
+        labels = represent.kmeans(x, represent.k_for(len(x))) if len(x) > 3 else np.arange(len(x))
+        chosen = []
+        for j in sorted(set(labels.tolist())):
+            centre = x[labels == j].mean(0)
+            # any row of the category may be the nearest to a centre, but each centre keeps those assigned to it
+            own = [i for i in range(len(x)) if labels[i] == j]
+            chosen.append(min(own, key=lambda i: (round(float(np.sqrt(((x[i] - centre) ** 2).sum())), 9), int(rows.row_id.iloc[i]))))
+        out[category] = [(int(rows.row_id.iloc[i]), x[i]) for i in chosen]
+    return out
+
+
+def test_pairs_and_examples_come_from_the_representatives(spark):
+    """Clumps far apart, so that assignment by centres and by labels is the same; brute force over all rows."""
+    rng = np.random.default_rng(3)
+    rows = [(c, 1000 * k + i, (rng.uniform(-1, 1, 7) + 50 * np.eye(7)[i % 4]).round(3).tolist()) for k, (c, n) in enumerate((("a", 41), ("b", 17), ("c", 3), ("d", 1))) for i in range(n)]
+    df = spark.createDataFrame(rows + rows[:7], POINTS).repartition(3)
+    expected = brute_central(df.toPandas().drop_duplicates("row_id"))
+    got = represent.central(df).collect()
+    assert {c: [r["row_id"] for r in sorted(got, key=lambda r: r["cluster"]) if r["category"] == c] for c in "abcd"} == {c: [i for i, _ in v] for c, v in expected.items()}
+    cos = lambda x, y: float(x @ y / np.linalg.norm(x) / np.linalg.norm(y))
+    pairs = {(c, i, j): round(cos(x, y), 6) for c, v in expected.items() for i, x in v for j, y in v if i < j}
+    assert {tuple(r)[:3]: round(r["similarity"], 6) for r in represent.pairwise(represent.central(df)).collect()} == pairs and len(pairs) > 6
+    kept = {c: [i for (i, _), ok in zip(v, represent.mutual_filter(np.array([x for _, x in v]))) if ok or len(v) <= 3] for c, v in expected.items()}
+    ranked = represent.representatives(df).orderBy("category", "rep_rank").collect()
+    assert {c: [r["row_id"] for r in ranked if r["category"] == c] for c in "abcd"} == kept
+
+
 def test_large_categories_fit_on_a_bounded_part(spark):
     df = spark.createDataFrame([("c", i, [float(i % 2), float(i % 2 == 0)]) for i in range(400)], POINTS)
     got = represent.representatives(df, large=50).collect()

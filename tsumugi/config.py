@@ -40,9 +40,21 @@ class Config:
     model: str = "replay"
     temperature: float = 0.8
     max_tokens: int = 2000
+    presence_penalty: float = 0.3
+    frequency_penalty: float = 0.2
+    #: Calls a minute over all tasks; none means no limit.
+    requests_per_minute: float | None = None
+    #: Seconds after which a call counts as failed.
+    call_seconds: float = 120.0
+    #: Categories whose answers are kept together.
     save_interval: int = 10
     seed: int = 42
 
+    @property
+    def sampling(self) -> dict:
+        """What a call of a chat service is given besides its messages."""
+        return {"model": self.model, "temperature": self.temperature, "max_tokens": self.max_tokens, "presence_penalty": self.presence_penalty, "frequency_penalty": self.frequency_penalty}
+
     @property
     def skipped(self) -> tuple[str, ...]:
         return self.skip_categories or SKIP_CATEGORIES

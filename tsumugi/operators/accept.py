@@ -17,6 +17,11 @@ def first_n(passing: DataFrame, needed: DataFrame, target: int, order: tuple[str
     return bounded.join(needed.select("category", "style", "needed"), ["category", "style"]).where(F.col("place") <= F.col("needed")).drop("needed")
 
 
+def category_mismatch(samples: DataFrame) -> DataFrame:
+    """``category, n, differing``: samples (``category, model_category``) of each category asked for, and how many report another or none."""
+    return samples.groupBy("category").agg(F.count("*").alias("n"), F.count_if(~F.col("model_category").eqNullSafe(F.col("category"))).alias("differing"))
+
+
 def sample_id(run_id: str, *parts: str) -> Column:
     """An id that recomputation can't change, in the form of a UUID."""
     h = F.sha2(F.concat_ws("/", F.lit(run_id), *[F.col(p).cast("string") for p in parts]), 256)

@@ -40,11 +40,11 @@ def style_matrix(needs: DataFrame, styles: DataFrame, allowed: DataFrame | None
 def style_allocation(limits: list[tuple[str, float]], presets: list[str], total: int, categories: int) -> dict[str, int]:
     """Overall allotment by share limits: a fold in the order of the limits, as each takes from what the ones before leave.
 
-    A positive remainder is spread over the presets, in their order. Divisions round down, below zero too.
+    A style gets at most the share of what is left that one preset has. A positive remainder is spread over the presets, in their order. Divisions round down, below zero too.
     """
     left, out = total, {}
     for style, limit in limits:
-        out[style] = max(max(5, categories // 2), min(int(total * limit), left // len(limits)))
+        out[style] = max(max(5, categories // 2), min(int(total * limit), left // len(presets)))
         left -= out[style]
     if left > 0:
         for i, style in enumerate(presets):

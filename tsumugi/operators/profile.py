@@ -55,7 +55,7 @@ def length_stats(corpus: DataFrame) -> DataFrame:
     counts = lengths.groupBy("s.field", "s.x").agg(F.count("*").alias("w"))
     w, x = F.col("w"), F.col("x").cast("double")
     mean = F.sum(x * w) / F.sum(w)
-    # deviations from a whole number near the mean keep the sums exact
+    # squares of whole numbers, exact in doubles up to 2**53
     variance = (F.sum(x * x * w) - F.sum(x * w) * F.sum(x * w) / F.sum(w)) / F.when(F.sum(w) > 1, F.sum(w) - 1)
     quartiles = [F.percentile("x", F.lit(q), w).alias(n) for n, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))]
     return counts.groupBy("field").agg(F.sum("w").alias("n"), mean.alias("mean"), F.sqrt(F.greatest(variance, F.lit(0.0))).alias("std"), F.min("x").alias("min"), *quartiles, F.max("x").alias("max"))

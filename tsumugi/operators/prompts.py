@@ -34,8 +34,8 @@ def with_instruction(rows: DataFrame, styles: DataFrame) -> DataFrame:
 
 
 def with_definition(rows: DataFrame, definitions: DataFrame) -> DataFrame:
-    """``rows`` with the ``definition`` of their category, empty where there is none."""
-    one = definitions.groupBy("category").agg(F.first("definition", ignorenulls=True).alias("definition"))
+    """``rows`` with the ``definition`` of their category, of several the least, empty where there is none."""
+    one = definitions.groupBy("category").agg(F.min("definition").alias("definition"))
     return rows.join(one, "category", "left").withColumn("definition", F.coalesce("definition", F.lit("")))
 
 

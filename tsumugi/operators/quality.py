@@ -43,6 +43,13 @@ def safety_problem(text: Column, patterns: tuple[tuple[str, str], ...] = SAFETY_
     return out
 
 
+def with_ranges(rows: DataFrame, styles: DataFrame, config: Config = Config()) -> DataFrame:
+    """``rows`` with the length ranges of their ``style``; a style without a preset has the default ones. A preset's null title range stays."""
+    ranges = styles.select(F.col("name").alias("style"), "title_min", "title_max", "body_min", "body_max", F.lit(True).alias("_preset"))
+    known, title = F.coalesce("_preset", F.lit(False)), dict(zip(("title_min", "title_max"), config.title_range))
+    return rows.join(ranges, "style", "left").withColumns({c: F.when(known, F.col(c)).otherwise(F.lit(d)) for c, d in title.items()}).drop("_preset")
+
+
 def validate(candidates: DataFrame, references: DataFrame, styles: DataFrame, config: Config = Config()) -> DataFrame:
     """``candidates`` with ``passed``, ``reasons`` (in the order of ``REASONS``) and ``metrics``.
 
@@ -51,17 +58,14 @@ def validate(candidates: DataFrame, references: DataFrame, styles: DataFrame, co
     ``malformed`` and has no other reason. A style without a preset has the default ranges. Rules aside from similarity are one
     projection; similarity is skipped, with metric 0, for the categories of the skip list.
     """
-    ranges = styles.select(F.col("name").alias("style"), "title_min", "title_max", "body_min", "body_max", F.lit(True).alias("preset"))
-    known = F.coalesce("preset", F.lit(False))
-    title_min, title_max = (F.when(known, F.col(c)).otherwise(F.lit(d)) for c, d in (("title_min", config.title_range[0]), ("title_max", config.title_range[1])))
     skipped = F.coalesce(F.col("model_category").isin(*config.skipped), F.lit(False))
     malformed = F.col("title").isNull() | F.col("body").isNull()
     measured = candidates.where(~malformed & ~skipped).select("id", "category", F.col("body").alias("text"))
     metrics = cosines(measured, references, config.tfidf_grams).join(overlaps(measured, references, config.overlap_gram), "id")
-    full = candidates.join(ranges, "style", "left").join(metrics, "id", "left").withColumns({"cosine": F.coalesce("cosine", F.lit(0.0)), "overlap": F.coalesce("overlap", F.lit(0.0))})
+    full = with_ranges(candidates, styles, config).join(metrics, "id", "left").withColumns({"cosine": F.coalesce("cosine", F.lit(0.0)), "overlap": F.coalesce("overlap", F.lit(0.0))})
     tests = {
         "malformed": malformed,
-        "length": length_problem(F.col("title"), F.col("body"), title_min, title_max, F.col("body_min"), F.col("body_max"), config.body_range).isNotNull(),
+        "length": length_problem(F.col("title"), F.col("body"), F.col("title_min"), F.col("title_max"), F.col("body_min"), F.col("body_max"), config.body_range).isNotNull(),
         "cosine": ~skipped & (F.col("cosine") >= config.cosine_limit),
         "ngram": ~skipped & (F.col("overlap") >= config.overlap_limit),
         "language": language_problem(F.col("body"), config).isNotNull(),

@@ -15,7 +15,7 @@ from tsumugi.operators.similarity import cosine
 #: Names of the seven counts, in order, and the literals counted.
 FEATURES = ("chars", "periods", "commas", "digits", "wa", "ga", "wo")
 LITERALS = {"periods": "。", "commas": "、", "wa": "は", "ga": "が", "wo": "を"}
-#: Rows of a category that one task clusters; above it, centres come from distributed rounds.
+#: Rows of a category that one task clusters; above it, a share by hash gives the first centres and distributed rounds over all rows move them.
 LARGE_GROUP = 20_000
 #: Rounds of Lloyd's algorithm at most.
 ROUNDS = 100
@@ -122,17 +122,16 @@ def lloyd(rows: DataFrame, lists: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return rows.sparkSession.createDataFrame(listed(), CENTRES)
 
 
-def representatives(rows: DataFrame, limit: float = 0.90, seed: int = 42, large: int = LARGE_GROUP) -> DataFrame:
-    """``category, row_id, rep_rank`` of each category's representatives; ``rows``: ``category, row_id, vector``.
+def central(rows: DataFrame, seed: int = 42, large: int = LARGE_GROUP) -> DataFrame:
+    """``category, n, cluster, row_id, vector``: the row nearest to each centre of each category of ``n`` rows; ``rows``: ``category, row_id, vector``.
 
-    Up to three rows all are taken. Otherwise k-means with ``k_for`` clusters, the row nearest to each centre, then the greedy
-    filter. Categories with more than ``large`` rows take their first centres from about that many rows, chosen by a hash of the
-    row id, and move them in distributed rounds over all rows (``lloyd``). Null categories are left out, repeats of a row id
-    count once.
+    Up to three rows all are taken, each its own cluster. Otherwise k-means with ``k_for`` clusters. Categories with more than
+    ``large`` rows take their first centres from about that many rows, chosen by a hash of the row id, and move them in
+    distributed rounds over all rows (``lloyd``). Null categories are left out, repeats of a row id count once.
     """
     rows = rows.where("category is not null").select("category", "row_id", "vector").dropDuplicates(["row_id"])
     sizes = rows.groupBy("category").agg(F.count("*").alias("n"))
-    few = rows.join(sizes.where("n <= 3"), "category").select("category", "row_id", (F.row_number().over(Window.partitionBy("category").orderBy("row_id")) - 1).alias("rep_rank"))
+    few = rows.join(sizes.where("n <= 3"), "category").select("category", "n", (F.row_number().over(Window.partitionBy("category").orderBy("row_id")) - 1).alias("cluster"), "row_id", "vector")
     rows, sizes = rows.join(sizes.where("n > 3").select("category"), "category"), sizes.where("n > 3")
     # a share by hash, so that no task ever sees more than about ``large`` rows of a category
     share = F.least(F.lit(1.0), F.lit(float(large)) / F.col("n"))
@@ -150,21 +149,32 @@ def representatives(rows: DataFrame, limit: float = 0.90, seed: int = 42, large:
     if not big.isEmpty():
         lists = lists.join(big, "category", "left_anti").unionByName(lloyd(rows.join(big, "category"), lists.join(big, "category")))
     best = assigned(rows, lists).groupBy("category", "d.cluster").agg(F.min(F.struct("d.distance", "row_id", "vector")).alias("b")).select("category", "cluster", "b.row_id", "b.vector")
+    return few.unionByName(best.join(sizes, "category").select(*few.columns))
+
+
+def representatives(rows: DataFrame, limit: float = 0.90, seed: int = 42, large: int = LARGE_GROUP) -> DataFrame:
+    """``category, row_id, rep_rank`` of each category's representatives: the ``central`` rows that pass the greedy filter.
+
+    All rows of a category of up to three stay.
+    """
 
     def thin(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("cluster")
-        keep = pdf[mutual_filter(np.array(pdf.vector.tolist(), float), limit)]
+        keep = pdf[mutual_filter(np.array(pdf.vector.tolist(), float), limit)] if pdf.n.iloc[0] > 3 else pdf
         return pd.DataFrame({"category": keep.category, "row_id": keep.row_id, "rep_rank": np.arange(len(keep), dtype=np.int32)})
 
-    return few.unionByName(best.groupBy("category").applyInPandas(thin, "category string, row_id long, rep_rank int"))
+    # a group is a category's six rows at most
+    return central(rows, seed, large).groupBy("category").applyInPandas(thin, "category string, row_id long, rep_rank int")
+
+
+def shown(valid: DataFrame, limit: float = 0.90, seed: int = 42) -> DataFrame:
+    """``category, row_id, rep_rank, title, body`` of the representatives of ``valid`` rows."""
+    chosen = representatives(features(valid), limit, seed)
+    return valid.select("row_id", "title", "body").dropDuplicates(["row_id"]).join(chosen, "row_id")
 
 
 def pairwise(rows: DataFrame) -> DataFrame:
-    """``category, row_a, row_b, similarity`` (a < b) of a category's few shown rows; for lists bounded by selection only."""
+    """``category, row_a, row_b, similarity`` (a < b) of a category's ``central`` rows, six at most."""
     other = rows.select("category", F.col("row_id").alias("row_b"), F.col("vector").alias("vb"))
     return rows.join(other, "category").where("row_id < row_b").select("category", F.col("row_id").alias("row_a"), "row_b", cosine(F.col("vector"), F.col("vb")).alias("similarity"))
 
-
-def first_rows(rows: DataFrame, n: int = 3) -> DataFrame:
-    """The first ``n`` rows of each category by id."""
-    return rows.where("category is not null").withColumn("pos", F.row_number().over(Window.partitionBy("category").orderBy("row_id"))).where(F.col("pos") <= n)

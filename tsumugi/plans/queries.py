@@ -117,8 +117,8 @@ def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairwise_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Similarity of the first rows of each category, by their seven counts."""
-    return represent.pairwise(represent.first_rows(_valid(spark, sf_dir))).withColumn("similarity", F.round("similarity", 6))
+    """Similarity of the rows nearest to the centres of each category, by their seven counts: what the greedy filter sees."""
+    return represent.pairwise(represent.central(_valid(spark, sf_dir), CONFIG.seed)).withColumn("similarity", F.round("similarity", 6))
 
 
 def representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +145,7 @@ def tfidf_max_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def length_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = generated(spark, sf_dir).where("title is not null and body is not null")
-    full = rows.join(table(spark, sf_dir, "style_preset").withColumnRenamed("name", "style"), "style")
+    full = quality.with_ranges(rows, table(spark, sf_dir, "style_preset"), CONFIG)
     problem = quality.length_problem(F.col("title"), F.col("body"), F.col("title_min"), F.col("title_max"), F.col("body_min"), F.col("body_max"))
     return full.select("aug_id", "style", F.coalesce(problem, F.lit("none")).alias("problem"))
 
@@ -192,14 +192,15 @@ def accepted_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many samples of each style report another style than was asked for."""
-    rows = table(spark, sf_dir, "augmented_data").select("aug_id", "style", "prompt_style").distinct().where("prompt_style is not null")
-    return rows.groupBy("prompt_style").agg(F.count("*").alias("n"), F.count_if(~F.col("style").eqNullSafe(F.col("prompt_style"))).alias("differing"))
+    """How many samples of each category asked for report another one; asked for was the category of the sample's first seed."""
+    rows = table(spark, sf_dir, "augmented_data").select("aug_id", F.col("category").alias("model_category"), F.get("seed_ids", F.lit(0)).cast("long").alias("row_id")).distinct()
+    seeds = corpus(spark, sf_dir).where("category is not null").groupBy("row_id").agg(F.min("category").alias("category"))
+    return accept.category_mismatch(rows.join(seeds, "row_id"))
 
 
 def _examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first valid rows of each category as its examples: a choice that SQL can make too."""
-    shown = represent.first_rows(profile.valid_samples(corpus(spark, sf_dir)).distinct()).withColumnRenamed("pos", "rep_rank")
+    """Each category's representatives as its examples."""
+    shown = represent.shown(profile.valid_samples(corpus(spark, sf_dir), CONFIG.least_valid), CONFIG.mutual_similarity, CONFIG.seed)
     return prompts.examples(shown, CONFIG.example_chars)
 
 
@@ -220,20 +221,31 @@ def definition_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prompt_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = prompts.requests(_matrix(spark, sf_dir), table(spark, sf_dir, "category_definition"), table(spark, sf_dir, "style_preset"), _examples(spark, sf_dir), CONFIG)
-    return made.select("category", "style", "batch_idx", F.get("messages", F.lit(1))["content"].alias("prompt"), F.array_join("shown_seed_ids", ",").alias("shown"))
+    text = lambda i: F.concat_ws(": ", F.get("messages", F.lit(i))["role"], F.get("messages", F.lit(i))["content"])
+    return made.select("category", "style", "batch_idx", text(0).alias("system"), text(1).alias("prompt"), F.array_join("shown_seed_ids", ",").alias("shown"))
 
 
 def recorded_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answers as a model would have given them, made of the generated samples: one each, bare, fenced, in prose, as an object, or broken."""
-    rows = generated(spark, sf_dir).where("category is not null and style is not null").select("aug_id", "category", "style", "title", "body")
+    """Answers as a model would have given them, made of up to four generated samples each.
+
+    By their number they are a bare list, one in a fence, in prose, a single object, a list with something after it, one whose
+    first item is no object, or an object that holds the list.
+    """
+    rows = generated(spark, sf_dir).where("category is not null and style is not null")
     one = F.to_json(F.struct("title", "body", "category", "style"), {"ignoreNullFields": "false"})
-    listed, form = F.concat(F.lit("["), one, F.lit("]")), F.col("aug_id") % 5
-    content = F.when(form == 0, listed).when(form == 1, F.concat(F.lit("```json\n"), listed, F.lit("\n```"))).when(form == 2, F.concat(F.lit("Here it is: "), listed, F.lit(" Done."))).when(form == 3, one).otherwise(F.concat(listed, F.lit(" tail")))
-    return rows.select("category", "style", F.lit(0).alias("round"), F.col("aug_id").alias("batch_idx"), content.alias("content"))
+    answer = F.floor(F.col("aug_id") / 4).cast("int")
+    items = rows.select(answer.alias("batch_idx"), F.struct("aug_id", "category", "style", one.alias("json")).alias("s")).groupBy("batch_idx").agg(F.array_sort(F.collect_list("s")).alias("s"))  # four at most
+    listed, form = F.concat(F.lit("["), F.array_join(F.col("s.json"), ", "), F.lit("]")), F.col("batch_idx") % 7
+    first = F.get("s", F.lit(0))
+    shapes = (listed, F.concat(F.lit("```json\n"), listed, F.lit("\n```")), F.concat(F.lit("Here it is: "), listed, F.lit(" Done.")), first["json"], F.concat(listed, F.lit(" tail")), F.concat(F.lit('["none", '), F.substring(listed, 2, 2**31 - 1)), F.concat(F.lit('{"samples": '), listed, F.lit("}")))
+    content = F.lit(None).cast("string")
+    for k, shape in enumerate(shapes):
+        content = F.when(form == k, shape).otherwise(content)
+    return items.select(first["category"].alias("category"), first["style"].alias("style"), F.lit(0).alias("round"), "batch_idx", content.alias("content"))
 
 
 def parse_llm_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse.candidates(recorded_answers(spark, sf_dir)).select(F.col("batch_idx").alias("aug_id"), "sample_idx", "title", "body", "malformed")
+    return parse.candidates(recorded_answers(spark, sf_dir)).select("batch_idx", "sample_idx", "title", "body", "malformed")
 
 
 def pending_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,10 +256,11 @@ def pending_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Output rows of the samples that passed the rules without references, with ids that recomputation can't change."""
-    rows = generated(spark, sf_dir).where("title is not null and body is not null and category is not null and style is not null").withColumn("model_style", F.col("style")).withColumn("seed_ids", F.array().cast("array<string>"))
-    made = accept.stamped(rows.withColumn("sample_idx", F.col("aug_id")), "replay", "run", F.timestamp_seconds(F.lit(0)))
-    return made.select("uuid", "category", "style", "is_synth", "prompt_style", "gen_model")
+    """Output rows of the samples with a title and a body, with ids that recomputation can't change."""
+    rows = table(spark, sf_dir, "augmented_data").where("title is not null and body is not null and category is not null and prompt_style is not null")
+    full = rows.select("aug_id", "title", "body", "category", F.col("prompt_style").alias("style"), F.col("style").alias("model_style"), F.col("category").alias("model_category"), "round", "batch_idx", F.col("aug_id").alias("sample_idx"), "seed_ids").distinct()
+    made = accept.stamped(full, "replay", "run", F.timestamp_seconds(F.lit(86_400)))
+    return made.select("uuid", "title", "body", "category", "style", "is_synth", F.array_join("seed_ids", ",").alias("seeds"), "prompt_style", "gen_model", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from tsumugi.functions.text import digit_class
-from tsumugi.operators.prompts import FORMAT, NO_TITLE
 
 W = r"[\s\p{Z}\x{1C}-\x{1F}\x{85}]"
 SKIP = "('債権買い取り')"
@@ -97,6 +96,11 @@ MEASURED = f"select aug_id as id, category, body as text from ({GENERATED}) wher
 REF_TEXTS = f"select row_id as id, category, body as text from ({REFERENCES})"
 DEFINED = "select category as id, category, definition as text from category_definition where definition is not null"
 
+RANGED = f"""
+    select a.*, case when p.name is null then 10 else p.title_min end as title_min, case when p.name is null then 50 else p.title_max end as title_max, p.body_min, p.body_max
+    from ({GENERATED}) a left join style_preset p on p.name = a.style
+"""
+
 VALIDATED = f"""
     select g.*, coalesce(c.cosine, 0.0) as max_cosine, coalesce(o.overlap, 0.0) as max_overlap, array_to_string(list_filter([
         case when g.title is null or g.body is null then 'malformed' end,
@@ -106,19 +110,11 @@ VALIDATED = f"""
         case when whole and {LANGUAGE} <> 'none' then 'language' end,
         case when whole and {safety('title')} <> 'none' then 'title_safety' end,
         case when whole and {safety('body')} <> 'none' then 'body_safety' end], lambda x: x is not null), ',') as reasons
-    from (select a.*, a.title is not null and a.body is not null as whole,
-            case when p.name is null then 10 else p.title_min end as title_min, case when p.name is null then 50 else p.title_max end as title_max, p.body_min, p.body_max
-        from ({GENERATED}) a left join style_preset p on p.name = a.style) g
+    from (select *, title is not null and body is not null as whole from ({RANGED})) g
     left join ({cosine(f"select id, category, text from ({MEASURED}) where coalesce(category, '') not in {SKIP} and id in (select aug_id from augmented_data where title is not null)", REF_TEXTS)}) c on c.aug_id = g.aug_id
     left join ({overlap(f"select id, category, text from ({MEASURED}) where coalesce(category, '') not in {SKIP} and id in (select aug_id from augmented_data where title is not null)", REF_TEXTS)}) o on o.aug_id = g.aug_id
 """
 
-EXAMPLES = f"""
-    select category, row_id, pos, coalesce(nullif({stripped("coalesce(title, '')")}, ''), '{NO_TITLE}') as title, substr({stripped('body')}, 1, 200) as body
-    from (select *, row_number() over (partition by category order by row_id) as pos from (select distinct * from merged_person_categories where length(body) >= 120 and category is not null))
-    where pos <= 3
-"""
-
 INSTRUCTION = """
     select name as style, pos, 'Style: ' || name || chr(10) || coalesce(description, '') || chr(10) || 'Tone: ' || coalesce(tone, '')
         || coalesce(chr(10) || 'Title: ' || cast(title_min as integer) || '-' || cast(title_max as integer) || ' characters', '')
@@ -147,13 +143,13 @@ SIMPLE = {
     "processing_order": f"select category, style, row_number() over (order by total desc, category, style_pos) as position from (select *, sum(needed) over (partition by category) as total from ({MATRIX}))",
     "batch_plan": BATCHES,
     "style_allocation": f"""
-        with recursive t as (select (select sum(needed) from ({NEEDS}))::bigint as total, (select count(distinct category) from merged_person_categories)::bigint as cats, (select count(*) from style_limit)::bigint as k, (select count(*) from style_preset)::bigint as p),
+        with recursive t as (select (select sum(needed) from ({NEEDS}))::bigint as total, (select count(distinct category) from merged_person_categories)::bigint as cats, (select count(*) from style_preset)::bigint as p),
         o as (select row_number() over (order by pos) as i, style, share_limit from style_limit),
         f(i, style, alloc, remaining) as (
             select 0::bigint, '', 0::bigint, total from t
             union all
             select o.i, o.style, a, f.remaining - a from f join o on o.i = f.i + 1, t,
-                lateral (select greatest(greatest(5, cats // 2), least(floor(total * share_limit)::bigint, floor(f.remaining::double / k)::bigint)) as a)
+                lateral (select greatest(greatest(5, cats // 2), least(floor(total * share_limit)::bigint, floor(f.remaining::double / p)::bigint)) as a)
         ),
         rest as (select remaining as r from f order by i desc limit 1)
         select s.style, coalesce(f.alloc, 0) + case when r > 0 and pos is not null then r // p + case when pos < r % p then 1 else 0 end else 0 end as samples
@@ -168,14 +164,10 @@ SIMPLE = {
         m as (select label, dim, avg(v) as c from x group by label, dim),
         d as (select x.label, x.vec_id, round(sqrt(sum((v - c) * (v - c))), 9) as distance from x join m on m.label = x.label and m.dim = x.dim group by x.label, x.vec_id)
         select label, vec_id, round(distance, 6) as distance from (select *, row_number() over (partition by label order by distance, vec_id) as r from d) where r = 1""",
-    "pairwise_cosine": f"""
-        with v as (select row_number() over (partition by category order by row_id) as pos, * from (select distinct * from merged_person_categories where length(body) >= 120 and category is not null)),
-        f as (select category, row_id, [length(body), {", ".join(f"length(body) - length(replace(body, '{c}', ''))" for c in ("。", "、"))}, length(body) - length(regexp_replace(body, '{digit_class()}', '', 'g')), {", ".join(f"length(body) - length(replace(body, '{c}', ''))" for c in ("は", "が", "を"))}]::double[] as x from v where pos <= 3)
-        select a.category, a.row_id as row_a, b.row_id as row_b, round(list_cosine_similarity(a.x, b.x), 6) as similarity from f a join f b on a.category = b.category and a.row_id < b.row_id""",
     "ngram_overlap": overlap(MEASURED, REF_TEXTS),
     "ngram_overlap_definitions": overlap(MEASURED, DEFINED),
     "tfidf_max_cosine": cosine(MEASURED, REF_TEXTS),
-    "length_check": f"select aug_id, style, {LENGTH} as problem from ({GENERATED}) g join style_preset p on p.name = g.style where title is not null and body is not null",
+    "length_check": f"select aug_id, style, {LENGTH} as problem from ({RANGED}) where title is not null and body is not null",
     "language_quality": f"select aug_id, {LANGUAGE} as problem from ({GENERATED}) where body is not null",
     "script_share": f"select aug_id, round({SHARE}, 6) as script_share from ({GENERATED}) where body <> ''",
     "sentence_stats": f"select aug_id, len({SENTENCES})::integer as n, round(coalesce(case when len({SENTENCES}) > 0 then {MEAN} end, 0.0), 6) as mean_len from ({GENERATED}) where body is not null",
@@ -187,28 +179,26 @@ SIMPLE = {
         select v.aug_id, v.category, v.style, v.place from (
             select *, row_number() over (partition by category, style order by "round", batch_idx, sample_idx, aug_id) as place from ({VALIDATED}) where reasons = ''
         ) v join ({MATRIX}) m on m.category = v.category and m.style = v.style where v.place <= m.needed""",
-    "category_mismatch": "select prompt_style, count(*) as n, count(*) filter (style is distinct from prompt_style) as differing from (select distinct aug_id, style, prompt_style from augmented_data where prompt_style is not null) group by prompt_style",
-    "fewshot_join": f"""
-        select m.category, m.style, coalesce(e.n, 0)::integer as n_examples, coalesce(e.seeds, '') as seeds from ({MATRIX}) m
-        left join (select category, count(*) as n, string_agg(row_id::varchar, ',' order by pos) as seeds from ({EXAMPLES}) group by category) e on e.category = m.category""",
+    "category_mismatch": """
+        select m.category, count(*) as n, count(*) filter (a.category is distinct from m.category) as differing
+        from (select distinct aug_id, category, seed_ids[1]::bigint as row_id from augmented_data) a
+        join (select row_id, min(category) as category from merged_person_categories where category is not null group by row_id) m on m.row_id = a.row_id group by m.category""",
     "style_prompts": f"""
         select s.style, coalesce(i.instruction, (select instruction from ({INSTRUCTION}) order by pos limit 1)) as instruction
         from (select distinct prompt_style as style from augmented_data where prompt_style is not null) s left join ({INSTRUCTION}) i on i.style = s.style""",
     "definition_join": f"select n.category, coalesce(d.definition, '') as definition from ({NEEDS}) n left join category_definition d on d.category = n.category",
-    "prompt_messages": f"""
-        select b.category, b.style, b.batch_idx, concat_ws(chr(10), 'Write 3 texts.' || chr(10) || 'Category: ' || b.category,
-            case when coalesce(d.definition, '') <> '' then 'Definition: ' || d.definition end, i.instruction, 'Requested style: ' || b.style,
-            case when e.text is not null then 'Examples:' || e.text end, '{FORMAT}') as prompt, coalesce(e.seeds, '') as shown
-        from ({BATCHES}) b left join category_definition d on d.category = b.category join ({INSTRUCTION}) i on i.style = b.style
-        left join (select category, string_agg(row_id::varchar, ',' order by pos) as seeds,
-            string_agg(chr(10) || 'Example ' || pos || chr(10) || 'Title: ' || title || chr(10) || 'Body: ' || body, '' order by pos) as text from ({EXAMPLES}) group by category) e on e.category = b.category""",
-    "parse_llm_json": f"select aug_id, 0 as sample_idx, title, body, title is null or body is null as malformed from ({GENERATED}) where category is not null and style is not null and aug_id % 5 <> 4"
-    # of an object, a span in brackets counts as the list, and here such spans are no JSON
-    + r" and not (aug_id % 5 = 3 and regexp_matches(concat_ws('', title, body), '(?s)\[.*\]'))",
+    # items by the answer they are in; of a single object, a span in brackets counts as the list, and here such spans are no JSON
+    "parse_llm_json": rf"""
+        with g as (select aug_id, title, body, (aug_id // 4)::integer as answer, row_number() over (partition by aug_id // 4 order by aug_id) - 1 as i from ({GENERATED}) where category is not null and style is not null)
+        select answer as batch_idx, i + (answer % 7 = 5)::integer as sample_idx, title, body, title is null or body is null as malformed from g
+        where answer % 7 <> 4 and i + (answer % 7 = 5)::integer < 3 and not (answer % 7 = 3 and (i > 0 or regexp_matches(concat_ws('', title, body), '(?s)\[.*\]')))
+        union all select distinct answer, 0, null, null, true from g where answer % 7 = 5""",
     "pending_requests": f"select b.* from ({BATCHES}) b where not exists (select 1 from augmented_data a where a.category = b.category and a.prompt_style = b.style and a.\"round\" = 0 and a.batch_idx = b.batch_idx)",
     "provenance": f"""
-        select substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) as uuid, category, style, true as is_synth, style as prompt_style, 'replay' as gen_model
-        from (select *, sha256('run/' || category || '/' || style || '/' || "round" || '/' || batch_idx || '/' || aug_id) as h from ({GENERATED}) where title is not null and body is not null and category is not null and style is not null)""",
+        select substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) as uuid, title, body, category, coalesce(reported, style) as style, true as is_synth,
+            array_to_string(seed_ids, ',') as seeds, style as prompt_style, 'replay' as gen_model, '1970-01-02 00:00:00' as created_at
+        from (select *, sha256('run/' || category || '/' || style || '/' || "round" || '/' || batch_idx || '/' || aug_id) as h
+            from (select distinct aug_id, title, body, category, prompt_style as style, style as reported, "round", batch_idx, seed_ids from augmented_data where title is not null and body is not null and category is not null and prompt_style is not null))""",
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,15 +34,29 @@ def read(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """A corpus with ``row_id, title, body, category`` and any other columns; in a CSV without ``row_id``, the row's number.
 
-    Numbers come from file order (``zipWithIndex``), so that they don't depend on partitions. Strings such as ``NA`` stay.
+    Numbers follow the order of files and rows, and so don't depend on partitions. Strings such as ``NA`` stay.
     """
     df = read(spark, path)
     if "row_id" not in df.columns:
-        numbered = df.rdd.zipWithIndex().map(lambda r: (*r[0], r[1]))
-        df = spark.createDataFrame(numbered, T.StructType([*df.schema.fields, T.StructField("row_id", T.LongType())]))
+        df = numbered(df)
     return df.select(F.col("row_id").cast("long").alias("row_id"), *[F.col(c).cast("string").alias(c) for c in ("title", "body", "category")], *[c for c in df.columns if c not in ("row_id", "title", "body", "category")])
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` of a file or folder with ``row_id``, the row's number from 0 in the order of files, their splits, and rows.
+
+    Rows are numbered within their splits, as they are read; the numbers of rows before each split, one row a split, are added.
+    """
+    name, place = F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id()
+    split = F.shiftrightunsigned("_place", 33)
+    rows = df.select("*", name, F.col("_metadata.file_block_start").alias("_start"), place.alias("_place"))
+    # a task reads files one after the other, so that the least place of a split is where it begins
+    splits = rows.groupBy("_file", "_start", split.alias("_task")).agg(F.count("*").alias("_rows"), F.min("_place").alias("_least"))
+    before = splits.withColumn("_before", F.coalesce(F.sum("_rows").over(Window.orderBy("_file", "_start", "_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    full = rows.withColumn("_task", split).join(before, ["_file", "_start", "_task"])
+    return full.select(*[F.col(c) for c in df.columns], (F.col("_before") + F.col("_place") - F.col("_least")).alias("row_id"))
+
+
 def read_definitions(spark: SparkSession, path: str) -> DataFrame:
     """``category, definition``; an absent file is an empty table."""
     return read(spark, path).select("category", "definition") if exists(spark, path) else spark.createDataFrame([], schemas.DEFINITION)

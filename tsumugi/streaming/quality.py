@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tsumugi.config import Config
-from tsumugi.operators.quality import language_problem, length_problem, safety_problem
+from tsumugi.operators.quality import language_problem, length_problem, safety_problem, with_ranges
 
 
 def checked(stream: DataFrame, styles: DataFrame, config: Config = Config()) -> DataFrame:
     """``stream`` (``style, title, body``) with ``reasons`` of the rules that need no references; works on batches alike."""
-    ranges = styles.select(F.col("name").alias("style"), "title_min", "title_max", "body_min", "body_max")
-    full = stream.join(ranges, "style", "left")
+    full = with_ranges(stream, styles, config)
     title, body = F.col("title"), F.col("body")
     malformed = title.isNull() | body.isNull()
     tests = {"malformed": malformed, "length": length_problem(title, body, F.col("title_min"), F.col("title_max"), F.col("body_min"), F.col("body_max"), config.body_range).isNotNull(), "language": language_problem(body, config).isNotNull(), "title_safety": safety_problem(title).isNotNull(), "body_safety": safety_problem(body).isNotNull()}
