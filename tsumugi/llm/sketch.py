@@ -20,6 +20,8 @@ from tsumugi.llm.codes import mix
 MAX_WIDTH, MIN_WIDTH, DEPTH = 1 << 27, 1 << 16, 2
 #: Cells in a chunk of the merge.
 CHUNK = 1 << 16
+#: Keys a task holds before it emits the chunks they touch, which bounds its memory whatever the width.
+HELD = 1 << 22
 
 
 def width_for(keys: int) -> int:
@@ -33,23 +35,29 @@ def cells(keys: np.ndarray, row: int, width: int) -> np.ndarray:
 
 def build(df: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], width: int) -> Broadcast:
     """Sketch of the keys of all batches; ``keys_of`` returns each key once for each record that counts. Broadcast: bits by row."""
-    spark, shape = df.sparkSession, (DEPTH, width)
+    spark = df.sparkSession
+
+    def chunks(keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The chunks that ``keys`` touch."""
+        for row in range(DEPTH):
+            at, n = np.unique(cells(keys, row, width), return_counts=True)
+            cuts = np.flatnonzero(np.concatenate([[True], at[1:] // CHUNK != at[:-1] // CHUNK, [True]])) if len(at) else []
+            for a, b in zip(cuts, cuts[1:]):
+                once, again, begin = np.zeros(CHUNK, bool), np.zeros(CHUNK, bool), int(at[a]) // CHUNK * CHUNK
+                once[at[a:b] - begin] = True
+                again[at[a:b][n[a:b] > 1] - begin] = True
+                yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([begin], pa.int64()), *(pa.array([zlib.compress(np.packbits(x).tobytes(), 1)], pa.binary()) for x in (once, again))], names=["sketch_row", "at", "once", "again"])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, again = np.zeros(shape, bool), np.zeros(shape, bool)
+        held, n = [], 0
         for batch in batches:
-            keys = keys_of(batch)
-            for row in range(DEPTH):
-                at, n = np.unique(cells(keys, row, width), return_counts=True)
-                again[row, at] |= once[row, at] | (n > 1)
-                once[row, at] = True
-        if not once.any():
-            return
-        for row in range(DEPTH):
-            for at in range(0, width, CHUNK):
-                one, two = once[row, at : at + CHUNK], again[row, at : at + CHUNK]
-                if one.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([at], pa.int64()), *(pa.array([zlib.compress(np.packbits(x).tobytes(), 1)], pa.binary()) for x in (one, two))], names=["sketch_row", "at", "once", "again"])
+            held.append(keys_of(batch))
+            n += len(held[-1])
+            if n >= HELD:
+                yield from chunks(np.concatenate(held))
+                held, n = [], 0
+        if n:
+            yield from chunks(np.concatenate(held))
 
     def merge(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = again = np.zeros(CHUNK // 8, np.uint8)
