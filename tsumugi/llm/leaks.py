@@ -103,6 +103,7 @@ class Items:
         self.windows = [self.terms_of(grams[a:b])[1] for a, b in windows]
         self.found_by = None
         self.answers = [frozenset(re.findall(r"[0-9]{3,}|[a-z]{4,}[0-9]*|[ァ-ヺー]{4,}", t)) for t in self.pieces]
+        self.places = [places(t) for t in self.pieces]
         self.free = np.array([not x for x in self.answers], bool)
 
     def terms_of(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -344,21 +345,17 @@ def _search(source: DataFrame, items: Items, paraphrases: bool) -> DataFrame:
                     pieces = np.flatnonzero(enough[doc] & ~it.free)
                     row, column = np.nonzero(it.cosines(vectors[bound[doc] : bound[doc + 1]], pieces) >= CLOSE)
                     close.append((row + bound[doc], column, pieces))
-                near_of: dict[int, list] = {}
                 for row, column, pieces in close:
                     for k, piece in zip(row.tolist(), pieces[column].tolist()):
                         doc, item, text, answers = int(doc_of[k]), int(it.piece_item[piece]), it.pieces[piece], it.answers[piece]
                         if (old := rows.get((doc, item))) and old[3]:
                             continue
-                        if k not in near_of:
-                            begin = int(starts[begins[k]])
-                            near_of[k] = [whole[max(int(offsets[doc]), begin - PIECE) : min(int(offsets[doc + 1]), begin + 2 * SPAN + PIECE)], None]
-                        near = near_of[k][0]
+                        begin = int(starts[begins[k]])
+                        near = whole[max(int(offsets[doc]), begin - len(text)) : min(int(offsets[doc + 1]), begin + 2 * SPAN + len(text))]
                         hits = sum(x in near for x in answers) / len(answers) if answers else 1.0
                         if hits < ANSWER_SHARE:
                             continue
-                        shapes = near_of[k][1] = near_of[k][1] or places(near)
-                        lcs = common_length(shapes, len(near), text) / max(1, len(text))
+                        lcs = common_length(it.places[piece], len(text), near) / max(1, len(text))
                         if lcs >= LCS_SHARE and (not old or lcs > old[1]):
                             cosine = float(it.cosines(vectors[k : k + 1], np.array([piece]))[0, 0])
                             rows[doc, item] = [cosine, lcs, hits, False, True]
