@@ -34,10 +34,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tsumugi/{uuid.uuid4().hex}/{name}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, which cuts its lineage and survives a lost executor."""
+def stage(df: DataFrame, name: str, under: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder, or to one in ``under``, and read it back, which cuts its lineage and survives a lost executor."""
     spark = df.sparkSession
-    path = new_folder(spark, name)
+    path = f"{under}/{uuid.uuid4().hex}/{name}" if under else new_folder(spark, name)
     df.write.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     staged._staged_at = path

@@ -105,9 +105,10 @@ class History:
         own.repartition(self.buckets, "bucket").write.mode("append").format("parquet").bucketBy(self.buckets, "bucket").option("path", f"{self.folder}/keys").saveAsTable(self.keys)
         if earlier:
             index, texts = self.spark.table(self.keys), self._texts(earlier)
-            met = stage(_met(index.where(F.col("take").isin(earlier)), index.where(F.col("take") == take)), "met")
-            _similar(met, signed, n, texts).write.parquet(found_at)
-            unstage(met)
+            work = new_folder(self.spark, "work")
+            met = stage(_met(index.where(F.col("take").isin(earlier)), index.where(F.col("take") == take)), "met", work)
+            _similar(met, signed, n, texts, work).write.parquet(found_at)
+            remove(self.spark, work)
             # of texts with the same grams one is enough to find whatever is similar; keys of the others lead nowhere
             copies = self.spark.read.schema(FOUND).parquet(found_at).where("similarity = 1").select(F.col("a").alias("id")).distinct()
             fresh = signed.join(few(copies, n), "id", "left_anti")
@@ -129,7 +130,7 @@ class History:
         return self.spark.read.schema(TEXTS).parquet(*[f"{self.folder}/texts/take={t}" for t in takes])
 
 
-def _similar(met: DataFrame, signed: DataFrame, rows: int, texts: DataFrame) -> DataFrame:
+def _similar(met: DataFrame, signed: DataFrame, rows: int, texts: DataFrame, work: str) -> DataFrame:
     """``a, b, similarity``: of new texts ``a``, so many ``rows``, similar ones ``b`` of the history, some at least for each that has any.
 
     Each text meets the earliest one of each of its keys, and the others where a key's lists are short. Only texts still without a
@@ -137,12 +138,12 @@ def _similar(met: DataFrame, signed: DataFrame, rows: int, texts: DataFrame) ->
     copy is always found.
     """
     n = {r["kind"]: r["count"] for r in met.groupBy("kind").count().collect()}
-    first = _verified(met.where("kind < 2").select("a", "b"), signed, rows, texts, n.get(0, 0) + n.get(1, 0))
+    first = _verified(met.where("kind < 2").select("a", "b"), signed, rows, texts, work, n.get(0, 0) + n.get(1, 0))
     if 2 not in n:
         return first
-    first = stage(first, "first")
+    first = stage(first, "first", work)
     tiles = met.where("kind = 2").select("tile", "a").join(met.where("kind = 3").select("tile", "b"), "tile").select("a", "b")
-    return first.unionByName(_verified(tiles.join(few(first.select("a").distinct(), rows), "a", "left_anti"), signed, rows, texts))
+    return first.unionByName(_verified(tiles.join(few(first.select("a").distinct(), rows), "a", "left_anti"), signed, rows, texts, work))
 
 
 def _signed(rows: DataFrame) -> DataFrame:
@@ -266,7 +267,7 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
     return np.zeros(first.sum(), np.int64), a[first], b[first]
 
 
-def _verified(met: DataFrame, signed: DataFrame, rows: int, texts: DataFrame, most: int | None = None) -> DataFrame:
+def _verified(met: DataFrame, signed: DataFrame, rows: int, texts: DataFrame, work: str, most: int | None = None) -> DataFrame:
     """``a, b, similarity`` of the pairs that are similar; texts of either side are moved for plausible pairs only.
 
     ``most``: pairs there are at most. A side is sent to the other if it is small; else both are shuffled.
@@ -275,16 +276,16 @@ def _verified(met: DataFrame, signed: DataFrame, rows: int, texts: DataFrame, mo
     pairs, likely = met.distinct().join(own, "a"), plausible(F.col("size"), F.col("sb"))
     other = texts.select(F.col("id").alias("b"), F.col("size").alias("sb"), *(F.col(p).alias(q) for p, q in zip(PRINTS, OTHERS)), F.col("text").alias("tb"))
     if most is None or most > common.BROADCAST_ROWS:
-        pairs = stage(pairs, "pairs")
+        pairs = stage(pairs, "pairs", work)
         most = pairs.count()
     if not most:
         return signed.sparkSession.createDataFrame([], FOUND)
     if most > common.BROADCAST_ROWS:
-        left = stage(other.drop("tb").join(pairs, "b").where(likely).select("a", "b"), "likely")
+        left = stage(other.drop("tb").join(pairs, "b").where(likely).select("a", "b"), "likely", work)
         close = other.select("b", "tb").join(few(left, left.count()), "b")
     else:
         close = other.join(F.broadcast(pairs), "b").where(likely)
-    close = stage(close.select("a", "b", "tb"), "close")
+    close = stage(close.select("a", "b", "tb"), "close", work)
     return compared(signed.select(F.col("id").alias("a"), F.col("text").alias("ta")).join(few(close, close.count() * WIDE), "a"))
 
 
