@@ -183,13 +183,26 @@ def position_terms(items: Items, points: np.ndarray, offsets: np.ndarray) -> tup
     return at[inner], term[inner]
 
 
+def row_sums(rows: np.ndarray, which: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of ``rows[which]`` from each of ``first`` to the next; the first terms of all, then the second ones, and so on."""
+    n = np.diff(first, append=len(which))
+    order = np.argsort(-n, kind="stable")
+    begin, left, out = first[order], -n[order], np.zeros((len(first), rows.shape[1]), rows.dtype)
+    for k in range(-int(left[0])):
+        m = np.searchsorted(left, -k, "left")  # so many have more than k terms
+        out[:m] += rows[which[begin[:m] + k]]
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
 def passages_of(items: Items, at: np.ndarray, term: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The blocks with which a passage that has terms begins, and the passages' unit vectors in the latent space."""
     if not len(at):
         return np.empty(0, np.int64), np.empty((0, items.project.shape[1]), np.float32)
     block = np.searchsorted(starts, at, "right") - 1
     first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-    own, sums = block[first], np.add.reduceat(items.project[term], first, axis=0)
+    own, sums = block[first], row_sums(items.project, term, first)
     # a passage begins with each block that has terms, and with the one before in the same text
     before = own - 1
     before = before[(before >= 0) & (owner[before] == owner[own])]
@@ -293,8 +306,9 @@ def _search(source: DataFrame, items: Items, paraphrases: bool) -> DataFrame:
             it = plain.value
             points, offsets = bare_points(texts_of(batch.column(1)))
             at, term = position_terms(it, points, offsets)
-            seen = np.unique((np.searchsorted(offsets, at, "right") - 1) * it.size + term)
-            frequency[:-1] += np.bincount(seen % max(1, it.size), minlength=it.size)
+            seen = np.zeros((batch.num_rows, it.size), bool)
+            seen[np.searchsorted(offsets, at, "right") - 1, term] = True
+            frequency[:-1] += np.count_nonzero(seen, axis=0)
             frequency[-1] += batch.num_rows
             starts, owner = blocks_of(offsets)
             docs = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
@@ -353,7 +367,8 @@ def _search(source: DataFrame, items: Items, paraphrases: bool) -> DataFrame:
                         begin = int(starts[begins[k]])
                         near = whole[max(int(offsets[doc]), begin - len(text)) : min(int(offsets[doc + 1]), begin + 2 * SPAN + len(text))]
                         hits = sum(x in near for x in answers) / len(answers) if answers else 1.0
-                        if hits < ANSWER_SHARE:
+                        # a common subsequence has no more characters than the piece has of those around
+                        if hits < ANSWER_SHARE or sum(map(set(near).__contains__, text)) < LCS_SHARE * len(text):
                             continue
                         lcs = common_length(it.places[piece], len(text), near) / max(1, len(text))
                         if lcs >= LCS_SHARE and (not old or lcs > old[1]):
