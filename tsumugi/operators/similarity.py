@@ -1,72 +1,164 @@
 """Similarity of candidates to the references of their category: n-gram containment and TF-IDF cosine, both exact.
 
-Every candidate is held against every reference of its category, in tiles: a block of candidates and a block of references, each
-tile a task of its own, so that a category with a third of all rows is many equal tasks, and only maxima leave a tile. Within a tile
-references are a dense matrix over the grams they have, and a candidate's sparse row picks and sums its lines. Nothing is refitted
-per candidate. ``candidates`` and ``references`` are ``id, category, text``; null texts are empty, null categories match nothing.
-Results have a row for each candidate id.
+Every candidate is held against every reference of its category. The references are written once, in blocks; a task has a block of
+candidates and reads the blocks of its category one after the other, so that no row is copied, and only maxima leave a task. Within a
+block the grams that many references have are a dense matrix, in which grams with the same references are one line; for the others
+the lists of their references are added. Nothing is refitted per candidate. ``candidates`` and ``references`` are
+``id, category, text``; null texts are empty, null categories match nothing. Results have a row for each candidate id.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tsumugi.functions.codes import term_counts
-
-#: Rows of a tile's sides, about.
-CANDIDATES, REFERENCES = 256, 128
-#: Rows of a vectorised step.
-ROWS = 200
+from tsumugi.sources.files import opened, staged
+
+#: Characters of a block of either side, about: 8,000 and 4,000 texts of 300.
+CANDIDATES, REFERENCES = 2_400_000, 1_200_000
+#: Texts of a vectorised step; cells of its largest array, about; folders of a staged table.
+ROWS, CELLS, FOLDERS = 256, 2_000_000, 256
+#: Grams that a larger share of a block's references have are in its dense matrix.
+DENSE = 0.05
 _SPACE = re.compile(r"\s\s+")
 
 
-def gram_rows(texts: DataFrame, sizes: tuple[int, ...], prepare: Callable[[str], str]) -> DataFrame:
-    """``id, category, g, tf``: hashes and counts of each text's grams, packed; repeats of an id count once."""
-    source = texts.where("category is not null").select(F.col("id").cast("string").alias("id"), "category", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["id"])
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
-                found = term_counts([prepare(t) for t in batch.column(2).to_pylist()], sizes)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([g.tobytes() for g, _ in found], pa.binary()), pa.array([n.astype(np.int32).tobytes() for _, n in found], pa.binary())], names=["id", "category", "g", "tf"])
-
-    return source.mapInArrow(run, "id string, category string, g binary, tf binary")
-
-
-def tiles(candidates: DataFrame, references: DataFrame, tile: Callable[[tuple, pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
-    """Apply ``tile`` to each block of candidates and each block of references of the same category."""
-    blocks = lambda df, name, size: df.groupBy("category").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
-    plan = blocks(candidates.select("category"), "nc", CANDIDATES).join(blocks(references.select("category"), "nr", REFERENCES), "category")
-    place = lambda n: F.pmod(F.xxhash64("id"), F.col(n).cast("long")).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = candidates.join(plan, "category").withColumn("i", place("nc")).withColumn("j", every("nr")).drop("nc", "nr")
-    right = references.join(plan, "category").withColumn("j", place("nr")).withColumn("i", every("nc")).drop("nc", "nr")
-    key = ["category", "i", "j"]
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(tile, schema)
-
-
-def _packed(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
-    return [np.frombuffer(b, kind) for b in column.to_pylist()]
-
-
-def _vocabulary(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All grams of the block, the place of each of its entries in them, and the row of each entry."""
-    vocabulary, place = np.unique(np.concatenate(grams), return_inverse=True)
-    return vocabulary, place, np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-
-
-def _hits(vocabulary: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which entries of ``g`` the vocabulary has, and where."""
-    at = np.minimum(np.searchsorted(vocabulary, g), max(0, len(vocabulary) - 1))
-    ok = vocabulary[at] == g if len(vocabulary) else np.zeros(len(g), bool)
-    return ok, at[ok]
+def squeeze(text: str) -> str:
+    return text.replace(" ", "").replace("\n", "")
+
+
+def fold(text: str) -> str:
+    return _SPACE.sub(" ", text).lower()
+
+
+def placed(texts: DataFrame, size: int) -> DataFrame:
+    """``id, category, text, b, i``: the folder and the block, of about ``size`` characters, of each row; rows of an id are in one."""
+    rows = texts.where("category is not null").select(F.col("id").cast("string").alias("id"), "category", F.coalesce("text", F.lit("")).alias("text"))
+    blocks = rows.groupBy("category").agg(F.ceil(F.sum(F.length("text") + 1) / size).alias("n"))
+    spread = rows.join(blocks, "category").withColumn("i", F.pmod(F.xxhash64("id"), F.col("n")).cast("int")).drop("n")
+    return spread.withColumn("b", F.pmod(F.xxhash64("category"), F.lit(FOLDERS)).cast("int"))
+
+
+def once(block: pa.Table) -> tuple[list[str], list[str]]:
+    """Ids and texts of a block; repeats of an id count once."""
+    kept = dict(sorted(zip(block["id"].to_pylist(), block["text"].to_pylist()), reverse=True))
+    return list(kept), list(kept.values())
+
+
+def counted(texts: list[str], sizes: tuple[int, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [x for at in range(0, len(texts), ROWS) for x in term_counts(texts[at : at + ROWS], sizes)]
+
+
+class Block:
+    """A block of references: its grams, for each the references that have it, as a dense matrix or as a list."""
+
+    def __init__(self, texts: list[str], sizes: tuple[int, ...]):
+        terms = counted(texts, sizes)
+        self.n = len(texts)
+        self.lengths = np.array([len(g) for g, _ in terms])
+        self.ends = np.concatenate([[0], np.cumsum(self.lengths)])
+        self.tf = np.concatenate([n for _, n in terms]).astype(np.float32)
+        self.owner = np.repeat(np.arange(self.n, dtype=np.int32), self.lengths)
+        self.grams, place, self.df = np.unique(np.concatenate([g for g, _ in terms]), return_inverse=True, return_counts=True)
+        self.place = place.astype(np.int32)
+        del terms, place
+        frequent = self.df > DENSE * self.n
+        inside = frequent[self.place]
+        # grams with the same counts in the same references are one line: equal sums of random numbers of 64 bits
+        marks = np.random.default_rng(1).integers(0, 2**64, self.n, np.uint64, endpoint=False)
+        sums = np.zeros(len(self.grams), np.uint64)
+        np.add.at(sums, self.place[inside], marks[self.owner[inside]] * self.tf[inside].astype(np.uint64))
+        dense = np.flatnonzero(frequent)
+        _, first, line = np.unique(sums[dense], return_index=True, return_inverse=True)
+        self.line = np.full(len(self.grams), -1, np.int32)
+        self.line[dense] = line
+        self.lines = len(first)
+        chosen = np.zeros(len(self.grams), bool)
+        chosen[dense[first]] = True
+        chosen = chosen[self.place]
+        self.matrix = np.zeros((self.lines, self.n), np.float32)
+        self.matrix[self.line[self.place[chosen]], self.owner[chosen]] = self.tf[chosen]
+        rest = np.flatnonzero(~inside)
+        rest = rest[np.argsort(self.place[rest], kind="stable")]
+        self.listed, self.listed_tf = self.owner[rest], self.tf[rest]
+        self.starts = np.concatenate([[0], np.cumsum(np.where(frequent, 0, self.df))])
+
+    def hits(self, terms: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the candidates' grams those that the block has: candidate, place among the block's grams, count."""
+        g = np.concatenate([g for g, _ in terms])
+        at = np.minimum(np.searchsorted(self.grams, g), max(0, len(self.grams) - 1))
+        ok = self.grams[at] == g if len(self.grams) else np.zeros(len(g), bool)
+        row = np.repeat(np.arange(len(terms), dtype=np.int32), [len(g) for g, _ in terms])
+        return row[ok], at[ok], np.concatenate([n for _, n in terms])[ok]
+
+    def steps(self, row: np.ndarray, at: np.ndarray, rows: int) -> Iterator[tuple[int, int, slice]]:
+        """Runs of candidates, and their hits, whose arrays are of about ``CELLS`` cells or have one candidate."""
+        ends = np.searchsorted(row, np.arange(rows + 1))
+        cost = np.concatenate([[0], np.cumsum(self.starts[at + 1] - self.starts[at])])[ends]
+        width, k = max(1, CELLS // max(1, self.n, self.lines)), 0
+        while k < rows:
+            to = max(k + 1, min(k + width, int(np.searchsorted(cost, cost[k] + CELLS, "right")) - 1, rows))
+            yield k, to, slice(ends[k], ends[to])
+            k = to
+
+    def dense(self, row: np.ndarray, at: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
+        """Sums of ``value`` times the references' counts, of the frequent grams."""
+        line = self.line[at]
+        ok = line >= 0
+        return np.bincount(row[ok].astype(np.int64) * self.lines + line[ok], value[ok], rows * self.lines).reshape(rows, self.lines).astype(np.float32) @ self.matrix
+
+    def sparse(self, row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the other grams, for each hit and reference: the cell, which hit, and which place of the lists."""
+        n = self.starts[at + 1] - self.starts[at]
+        hit = np.repeat(np.arange(len(at)), n)
+        place = np.arange(len(hit)) + np.repeat(self.starts[at] - np.cumsum(n) + n, n)
+        return row[hit].astype(np.int64) * self.n + self.listed[place], hit, place
+
+
+def read(path: str, b: int, category: str, *columns: str) -> Iterator[tuple]:
+    """The staged blocks of a category, one at a time."""
+    found = False
+    for file in opened(f"{path}/b={b}"):
+        for batch in pq.ParquetFile(file).iter_batches(1, columns=["category", *columns]):
+            if batch.num_rows and batch.column(0)[0].as_py() == category:
+                found = True
+                yield tuple(c[0].as_py() for c in batch.columns[1:])
+    if not found:
+        raise FileNotFoundError(f"{path}: no references of {category}")
+
+
+def compared(candidates: DataFrame, references: DataFrame, sizes: tuple[int, ...], prepare: Callable[[str], str], compare: Callable, frequencies: bool, name: str) -> DataFrame:
+    """``id`` and the measure ``name`` that ``compare`` gives: of candidates' terms, from an iterator of blocks and one of their grams and frequencies."""
+
+    def block(key: tuple, rows: pa.Table) -> pa.Table:
+        texts = [prepare(t) for t in once(rows)[1]]
+        g, n = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        if frequencies:
+            grams, places = np.unique(np.concatenate([g for g, _ in counted(texts, sizes)]), return_counts=True)
+            g, n = [grams], [places]
+        return pa.table({"category": pa.array([key[0].as_py()]), "b": pa.array([key[1].as_py()], pa.int32()), "docs": pa.array([len(texts)]), "texts": pa.array([texts], pa.list_(pa.string())), "g": pa.array([g[0].tobytes()], pa.binary()), "n": pa.array([n[0].astype(np.int32).tobytes()], pa.binary())})
+
+    made = placed(references, REFERENCES).groupBy("category", "b", "i").applyInArrow(block, "category string, b int, docs long, texts array<string>, g binary, n binary")
+    kept, path = staged(made, "references", "b")
+    known = kept.select("category").distinct()
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        category, b = key[0].as_py(), key[1].as_py()
+        ids, texts = once(rows)
+        terms = counted([prepare(t) for t in texts], sizes)
+        blocks = (Block(texts, sizes) for (texts,) in read(path, b, category, "texts"))
+        return pa.table({"id": pa.array(ids, pa.string()), "v": pa.array(compare(terms, blocks, read(path, b, category, "docs", "g", "n")))})
+
+    rows = placed(candidates.join(known, "category", "left_semi"), CANDIDATES).repartition(max(64, int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "category", "b", "i")
+    best = rows.groupBy("category", "b", "i").applyInArrow(run, "id string, v double").groupBy("id").agg(F.max("v").alias(name))
+    return _every(candidates, best, name)
 
 
 def overlaps(candidates: DataFrame, references: DataFrame, n: int = 4) -> DataFrame:
@@ -74,22 +166,24 @@ def overlaps(candidates: DataFrame, references: DataFrame, n: int = 4) -> DataFr
 
     Spaces and line feeds are left out. 0 where there are no references or no grams. Long texts are compared whole.
     """
-    squeeze = lambda t: t.replace(" ", "").replace("\n", "")
-
-    def tile(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        best = np.zeros(left.num_rows)
-        if left.num_rows and right.num_rows:
-            vocabulary, place, owner = _vocabulary(_packed(right["g"], "int64"))
-            has = np.zeros((len(vocabulary), right.num_rows), np.float32)
-            has[place, owner] = 1
-            for k, g in enumerate(_packed(left["g"], "int64")):
-                _, at = _hits(vocabulary, g)
-                best[k] = int(has[at].sum(axis=0).max()) / len(g) if len(at) else 0.0
-        return pa.table({"id": left["id"], "v": pa.array(best)})
-
-    made = tiles(gram_rows(candidates, (n,), squeeze), gram_rows(references, (n,), squeeze), tile, "id string, v double")
-    best = made.groupBy("id").agg(F.max("v").alias("overlap"))
-    return _every(candidates, best, "overlap")
+    return compared(candidates, references, (n,), squeeze, most_shared, False, "overlap")
+
+
+def most_shared(terms: list, blocks: Iterator[Block], _: Iterator[tuple]) -> np.ndarray:
+    best = np.zeros(len(terms))
+    for block in blocks:
+        block.tf[:], block.listed_tf[:] = 1, 1
+        block.matrix = (block.matrix > 0).astype(np.float32)
+        for at in range(0, len(terms), ROWS):
+            some = terms[at : at + ROWS]
+            row, place, _ = block.hits(some)
+            for a, z, part in block.steps(row, place, len(some)):
+                r, p = row[part] - a, place[part]
+                both = block.dense(r, p, np.ones(len(p)), z - a)
+                cell, _, _ = block.sparse(r, p)
+                both += np.bincount(cell, minlength=both.size).reshape(both.shape)
+                best[at + a : at + z] = np.maximum(best[at + a : at + z], both.max(axis=1))
+    return best / np.maximum(1, [len(g) for g, _ in terms])
 
 
 def cosines(candidates: DataFrame, references: DataFrame, sizes: tuple[int, int] = (2, 3)) -> DataFrame:
@@ -100,72 +194,78 @@ def cosines(candidates: DataFrame, references: DataFrame, sizes: tuple[int, int]
     with and without the candidate, and a reference's norm is its own plus a correction over the grams it shares. 0 without
     references.
     """
-    spread, fold = tuple(range(sizes[0], sizes[1] + 1)), lambda t: _SPACE.sub(" ", t).lower()
-    other = gram_rows(references, spread, fold)
-    counted = _with_frequencies(other)
-
-    def tile(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        best, more, whole = np.zeros(left.num_rows), np.zeros(left.num_rows), np.full(left.num_rows, np.nan)
-        if left.num_rows and right.num_rows:
-            docs = right["docs"][0].as_py()
-            weight = lambda df, more: (np.log((2 + docs) / (1 + df + more)) + 1) ** 2
-            vocabulary, place, owner = _vocabulary(_packed(right["g"], "int64"))
-            tf = np.concatenate(_packed(right["tf"], "int32")).astype(float)
-            df, home = np.zeros(len(vocabulary)), np.zeros(len(vocabulary), bool)
-            packed = np.concatenate(_packed(right["df"], "int64"))
-            df[place] = np.abs(packed)
-            home[place[packed < 0]] = True  # the one reference whose tile counts the gram in candidates' norms
-            w1, w0, alone = weight(df, 1), weight(df, 0), weight(0.0, 1)
-            dot, change = np.zeros((len(vocabulary), right.num_rows)), np.zeros((len(vocabulary), right.num_rows))
-            dot[place, owner] = tf
-            change[place, owner] = tf * tf * (w1 - w0)[place]
-            base = np.bincount(owner, tf * tf * w0[place], right.num_rows)
-            extra = np.where(home, w1 - alone, 0.0)
-            for k, (g, n) in enumerate(zip(_packed(left["g"], "int64"), _packed(left["tf"], "int32"))):
-                ok, at = _hits(vocabulary, g)
-                m = n[ok].astype(float)
-                if len(at):
-                    best[k] = np.max((m * w1[at]) @ dot[at] / np.sqrt(np.maximum(base + change[at].sum(axis=0), 1e-300)))
-                more[k] = (m * m) @ extra[at]
-                whole[k] = alone * float((n.astype(float) ** 2).sum())
-        return pa.table({"id": left["id"], "best": pa.array(best), "more": pa.array(more), "whole": pa.array(whole, mask=np.isnan(whole))})
-
-    # the squared norm of a candidate: all its grams as if no reference had them, and corrections from the grams' homes
-    made = tiles(gram_rows(candidates, spread, fold), counted, tile, "id string, best double, more double, whole double")
-    norm = F.sum("more") + F.max("whole")
-    best = made.groupBy("id").agg(F.when(norm > 0, F.max("best") / F.sqrt(norm)).otherwise(0.0).alias("cosine"))
-    return _every(candidates, best, "cosine")
-
-
-def _with_frequencies(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``docs``, the references of the category, and ``df``, packed: in how many each gram occurs, negative in its home.
-
-    A gram's home is the least reference that has it.
-    """
-
-    def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            grams = _packed(pa.chunked_array([batch.column(2)]), "int64")
-            at = pa.array(np.repeat(np.arange(len(grams)), [len(g) for g in grams]))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(grams) if grams else np.empty(0, np.int64))], names=["r", "c", "x"])
-
-    numbered = rows.withColumn("r", F.xxhash64("id"))  # numbers shuffle lighter than ids and labels
-    long = numbered.select("r", F.xxhash64("category").alias("c"), "g").mapInArrow(unpack, "r long, c long, x long")
-    frequency = long.groupBy("c", "x").agg(F.count("*").alias("df"), F.min("r").alias("home"))
-    signed = long.join(frequency, ["c", "x"]).select("r", "x", F.when(F.col("r") == F.col("home"), -F.col("df")).otherwise(F.col("df")).alias("df"))
-    lists = signed.groupBy("r").agg(F.collect_list(F.struct("x", "df")).alias("dfs"))  # bounded by one text
-    docs = rows.groupBy("category").agg(F.count("*").alias("docs"))
-
-    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(4)
-            x, df = (lists.flatten().field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
-            ends = np.concatenate([[0], np.cumsum(np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))])
-            packed = [df[a:b][np.argsort(x[a:b])].tobytes() for a, b in zip(ends[:-1], ends[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(packed, pa.binary()), batch.column(5)], names=["id", "category", "g", "tf", "df", "docs"])
-
-    joined = numbered.join(lists, "r", "left").join(docs, "category").select("id", "category", "g", "tf", "dfs", "docs")
-    return joined.mapInArrow(pack, "id string, category string, g binary, tf binary, df binary, docs long")
+    return compared(candidates, references, tuple(range(sizes[0], sizes[1] + 1)), fold, largest_cosine, True, "cosine")
+
+
+def document_frequencies(parts: Iterator[tuple]) -> tuple[int, np.ndarray, np.ndarray]:
+    """The documents, the grams, and in how many documents each is, from those of the blocks."""
+    docs, grams, counts, waiting, size = 0, np.empty(0, np.int64), np.empty(0, np.int32), [], 0
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        g, at = np.unique(np.concatenate([grams, *[g for g, _ in waiting]]), return_inverse=True)
+        return g, np.bincount(at, np.concatenate([counts, *[n for _, n in waiting]]), len(g)).astype(np.int32)
+
+    for n, g, df in parts:
+        docs += n
+        waiting.append((np.frombuffer(g, np.int64), np.frombuffer(df, np.int32)))
+        size += len(waiting[-1][0])
+        if size > len(grams) + 1_000_000:
+            (grams, counts), waiting, size = merged(), [], 0
+    return docs, *merged()
+
+
+def largest_cosine(terms: list, blocks: Iterator[Block], parts: Iterator[tuple]) -> np.ndarray:
+    """The largest cosines: from each block the references that may have them, by single precision and a bound, then their exact values."""
+    docs, grams, counts = document_frequencies(parts)
+    weight = lambda df, more: (np.log((2 + docs) / (1 + df + more)) + 1) ** 2
+
+    def frequency(g: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(grams, g), max(0, len(grams) - 1))
+        return np.where(grams[at] == g, counts[at], 0) if len(grams) else np.zeros(len(g))
+
+    best = np.zeros(len(terms))
+    norm = np.array([float((n.astype(float) ** 2) @ weight(frequency(g), 1)) for g, n in terms])
+    for block in blocks:
+        df = frequency(block.grams)
+        w1, w0 = weight(df, 1), weight(df, 0)
+        less = w0 - w1  # by which a shared gram lowers a reference's squared norm, times the square of its count
+        base = np.bincount(block.owner, block.tf.astype(float) ** 2 * w0[block.place], block.n)
+        lowered, frequent = block.tf.astype(float) ** 2 * less[block.place], block.line[block.place] >= 0
+        of_dense, of_all = np.bincount(block.owner, lowered * frequent, block.n), np.bincount(block.owner, lowered, block.n)
+        base32, lists = base.astype(np.float32), (block.listed_tf.astype(float) ** 2)
+        # what the cosine may gain at most where a candidate has all frequent grams of a reference
+        gain = np.sqrt(np.maximum(1.0, (base - of_all + of_dense) / np.maximum(base - of_all, 1e-300))).astype(np.float32)
+        values, drops = np.zeros(len(block.grams)), np.zeros(len(block.grams))
+        for at in range(0, len(terms), ROWS):
+            some = terms[at : at + ROWS]
+            row, place, n = block.hits(some)
+            for a, z, part in block.steps(row, place, len(some)):
+                r, p, m = row[part] - a, place[part], n[part] * w1[place[part]]
+                dot = block.dense(r, p, m, z - a)
+                cell, hit, listed = block.sparse(r, p)
+                dot += np.bincount(cell, m[hit] * block.listed_tf[listed], dot.size).reshape(dot.shape)
+                drop = np.bincount(cell, less[p[hit]] * lists[listed], dot.size).reshape(dot.shape)
+                dot /= np.sqrt(np.maximum(base32 - drop, 1e-30)).astype(np.float32)  # too small by what frequent grams lower, and by rounding
+                floor = np.maximum(best[at + a : at + z], dot.max(axis=1)) * (1 - 1e-6 * 40 - 2.4e-7 * np.bincount(r, minlength=z - a))
+                dot *= gain
+                who, which = np.nonzero((dot >= floor[:, None]) & (dot > 0))
+                bounds = np.searchsorted(r, np.arange(z - a + 1))
+                for k, mine in zip(*_runs(who, which)):
+                    own = slice(bounds[k], bounds[k + 1])
+                    values[p[own]], drops[p[own]] = m[own], less[p[own]]
+                    for j in mine:
+                        e = slice(block.ends[j], block.ends[j + 1])
+                        tf, has = block.tf[e].astype(float), block.place[e]
+                        exact = (values[has] @ tf) / np.sqrt(max(base[j] - (drops[has] * tf) @ tf, 1e-300))
+                        best[at + a + k] = max(best[at + a + k], exact)
+                    values[p[own]], drops[p[own]] = 0, 0
+    return np.where(norm > 0, best / np.sqrt(np.where(norm > 0, norm, 1)), 0.0)
+
+
+def _runs(who: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Each candidate of a sorted list and what belongs to it."""
+    k, first = np.unique(who, return_index=True)
+    return k, np.split(which, first[1:]) if len(k) else []
 
 
 def _every(candidates: DataFrame, best: DataFrame, name: str) -> DataFrame:

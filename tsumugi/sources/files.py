@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +20,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def staged(df: DataFrame, name: str, by: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder (``spark.checkpoint.dir``; where that is unset, one of this machine), a folder for each ``by``; and its URI."""
+    spark = df.sparkSession
+    where = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tsumugi-")
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{where.rstrip('/')}/tsumugi/{uuid.uuid4().hex}/{name}")
+    path = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+    df.write.partitionBy(by).option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
+
+
+def opened(folder: str) -> Iterator[pa.NativeFile]:
+    """The parquet files of a folder, by its URI, one after the other; readable in a task."""
+    system, place = pyarrow.fs.FileSystem.from_uri(folder)
+    for info in sorted(system.get_file_info(pyarrow.fs.FileSelector(place, allow_not_found=True)), key=lambda i: i.path):
+        if info.path.endswith(".parquet"):
+            with system.open_input_file(info.path) as file:
+                yield file
+
+
 def require(spark: SparkSession, path: str) -> str:
     if not exists(spark, path):
         raise FileNotFoundError(path)
