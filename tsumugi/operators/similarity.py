@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from tsumugi.sources.files import opened, staged
 #: Characters of a block of either side, about: 8,000 and 4,000 texts of 300.
 CANDIDATES, REFERENCES = 2_400_000, 1_200_000
 #: Texts of a vectorised step; cells of its largest array, about; folders of a staged table.
-ROWS, CELLS, FOLDERS = 256, 2_000_000, 256
+ROWS, CELLS, FOLDERS = 128, 500_000, 256
 #: Grams that a larger share of a block's references have are in its dense matrix.
 DENSE = 0.05
 _SPACE = re.compile(r"\s\s+")
@@ -59,14 +60,14 @@ def counted(texts: list[str], sizes: tuple[int, ...]) -> list[tuple[np.ndarray,
 class Block:
     """A block of references: its grams, for each the references that have it, as a dense matrix or as a list."""
 
-    def __init__(self, texts: list[str], sizes: tuple[int, ...]):
+    def __init__(self, texts: list[str], sizes: tuple[int, ...], grams: np.ndarray, df: np.ndarray):
         terms = counted(texts, sizes)
-        self.n = len(texts)
+        self.n, self.grams, self.df = len(texts), grams, df
         self.lengths = np.array([len(g) for g, _ in terms])
         self.ends = np.concatenate([[0], np.cumsum(self.lengths)])
         self.tf = np.concatenate([n for _, n in terms]).astype(np.float32)
         self.owner = np.repeat(np.arange(self.n, dtype=np.int32), self.lengths)
-        self.grams, place, self.df = np.unique(np.concatenate([g for g, _ in terms]), return_inverse=True, return_counts=True)
+        place = np.searchsorted(grams, np.concatenate([g for g, _ in terms]))
         self.place = place.astype(np.int32)
         del terms, place
         frequent = self.df > DENSE * self.n
@@ -114,12 +115,25 @@ class Block:
         ok = line >= 0
         return np.bincount(row[ok].astype(np.int64) * self.lines + line[ok], value[ok], rows * self.lines).reshape(rows, self.lines).astype(np.float32) @ self.matrix
 
-    def sparse(self, row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the other grams, for each hit and reference: the cell, which hit, and which place of the lists."""
+    def sparse(self, row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, Callable[[np.ndarray], np.ndarray]]:
+        """Of the other grams, for each hit and reference: the cell and the place of the lists; and what repeats values of the hits for them."""
         n = self.starts[at + 1] - self.starts[at]
-        hit = np.repeat(np.arange(len(at)), n)
-        place = np.arange(len(hit)) + np.repeat(self.starts[at] - np.cumsum(n) + n, n)
-        return row[hit].astype(np.int64) * self.n + self.listed[place], hit, place
+        ok = np.flatnonzero(n)
+        row, at, n = row[ok], at[ok], n[ok]
+        place = np.repeat(self.starts[at] - np.cumsum(n) + n, n)
+        place += np.arange(len(place))
+        cell = np.repeat(row.astype(np.int64) * self.n, n)
+        cell += self.listed[place]
+        return cell, place, lambda value: np.repeat(value[ok], n)
+
+
+class Measure(NamedTuple):
+    """A measure of candidates and references: the grams' sizes, how a text is prepared, and what gives a candidate's largest value."""
+
+    name: str
+    sizes: tuple[int, ...]
+    prepare: Callable[[str], str]
+    largest: Callable
 
 
 def read(path: str, b: int, category: str, *columns: str) -> Iterator[tuple]:
@@ -134,31 +148,36 @@ def read(path: str, b: int, category: str, *columns: str) -> Iterator[tuple]:
         raise FileNotFoundError(f"{path}: no references of {category}")
 
 
-def compared(candidates: DataFrame, references: DataFrame, sizes: tuple[int, ...], prepare: Callable[[str], str], compare: Callable, frequencies: bool, name: str) -> DataFrame:
-    """``id`` and the measure ``name`` that ``compare`` gives: of candidates' terms, from an iterator of blocks and one of their grams and frequencies."""
+def largest(candidates: DataFrame, references: DataFrame, *measures: Measure) -> DataFrame:
+    """``id`` and the largest value of each measure, in one pass over the candidates."""
+    parts = [x for k in range(len(measures)) for x in (f"g{k}", f"n{k}")]
 
     def block(key: tuple, rows: pa.Table) -> pa.Table:
-        texts = [prepare(t) for t in once(rows)[1]]
-        g, n = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        if frequencies:
-            grams, places = np.unique(np.concatenate([g for g, _ in counted(texts, sizes)]), return_counts=True)
-            g, n = [grams], [places]
-        return pa.table({"category": pa.array([key[0].as_py()]), "b": pa.array([key[1].as_py()], pa.int32()), "docs": pa.array([len(texts)]), "texts": pa.array([texts], pa.list_(pa.string())), "g": pa.array([g[0].tobytes()], pa.binary()), "n": pa.array([n[0].astype(np.int32).tobytes()], pa.binary())})
-
-    made = placed(references, REFERENCES).groupBy("category", "b", "i").applyInArrow(block, "category string, b int, docs long, texts array<string>, g binary, n binary")
+        texts, found = once(rows)[1], []
+        for m in measures:
+            g, n = np.unique(np.concatenate([g for g, _ in counted([m.prepare(t) for t in texts], m.sizes)]), return_counts=True)
+            found += [g.tobytes(), n.astype(np.int32).tobytes()]
+        return pa.table({"category": pa.array([key[0].as_py()]), "b": pa.array([key[1].as_py()], pa.int32()), "docs": pa.array([len(texts)]), "texts": pa.array([texts], pa.list_(pa.string())), **{name: pa.array([x], pa.binary()) for name, x in zip(parts, found)}})
+
+    made = placed(references, REFERENCES).groupBy("category", "b", "i").applyInArrow(block, "category string, b int, docs long, texts array<string>" + "".join(f", {x} binary" for x in parts))
     kept, path = staged(made, "references", "b")
-    known = kept.select("category").distinct()
+    given, _ = staged(candidates.select("id", "category", "text"), "candidates")
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         category, b = key[0].as_py(), key[1].as_py()
         ids, texts = once(rows)
-        terms = counted([prepare(t) for t in texts], sizes)
-        blocks = (Block(texts, sizes) for (texts,) in read(path, b, category, "texts"))
-        return pa.table({"id": pa.array(ids, pa.string()), "v": pa.array(compare(terms, blocks, read(path, b, category, "docs", "g", "n")))})
+        found = {"id": pa.array(ids, pa.string())}
+        for k, m in enumerate(measures):
+            blocks = (Block([m.prepare(t) for t in own], m.sizes, np.frombuffer(g, np.int64), np.frombuffer(n, np.int32)) for own, g, n in read(path, b, category, "texts", f"g{k}", f"n{k}"))
+            found[m.name] = pa.array(m.largest(counted([m.prepare(t) for t in texts], m.sizes), blocks, read(path, b, category, "docs", f"g{k}", f"n{k}")))
+        return pa.table(found)
 
-    rows = placed(candidates.join(known, "category", "left_semi"), CANDIDATES).repartition(max(64, int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "category", "b", "i")
-    best = rows.groupBy("category", "b", "i").applyInArrow(run, "id string, v double").groupBy("id").agg(F.max("v").alias(name))
-    return _every(candidates, best, name)
+    known = given.join(kept.select("category").distinct(), "category", "left_semi")
+    tasks = max(64, int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = placed(known, CANDIDATES).repartition(tasks, "category", "b", "i").groupBy("category", "b", "i")
+    best = rows.applyInArrow(run, "id string" + "".join(f", {m.name} double" for m in measures)).groupBy(F.col("id").alias("_id")).agg(*[F.max(m.name).alias(m.name) for m in measures])
+    ids = given.select("id").distinct()
+    return ids.join(best, F.col("id").cast("string") == F.col("_id"), "left").select("id", *[F.coalesce(m.name, F.lit(0.0)).alias(m.name) for m in measures])
 
 
 def overlaps(candidates: DataFrame, references: DataFrame, n: int = 4) -> DataFrame:
@@ -166,7 +185,11 @@ def overlaps(candidates: DataFrame, references: DataFrame, n: int = 4) -> DataFr
 
     Spaces and line feeds are left out. 0 where there are no references or no grams. Long texts are compared whole.
     """
-    return compared(candidates, references, (n,), squeeze, most_shared, False, "overlap")
+    return largest(candidates, references, overlap_measure(n))
+
+
+def overlap_measure(n: int = 4) -> Measure:
+    return Measure("overlap", (n,), squeeze, most_shared)
 
 
 def most_shared(terms: list, blocks: Iterator[Block], _: Iterator[tuple]) -> np.ndarray:
@@ -194,7 +217,11 @@ def cosines(candidates: DataFrame, references: DataFrame, sizes: tuple[int, int]
     with and without the candidate, and a reference's norm is its own plus a correction over the grams it shares. 0 without
     references.
     """
-    return compared(candidates, references, tuple(range(sizes[0], sizes[1] + 1)), fold, largest_cosine, True, "cosine")
+    return largest(candidates, references, cosine_measure(sizes))
+
+
+def cosine_measure(sizes: tuple[int, int] = (2, 3)) -> Measure:
+    return Measure("cosine", tuple(range(sizes[0], sizes[1] + 1)), fold, largest_cosine)
 
 
 def document_frequencies(parts: Iterator[tuple]) -> tuple[int, np.ndarray, np.ndarray]:
@@ -224,33 +251,46 @@ def largest_cosine(terms: list, blocks: Iterator[Block], parts: Iterator[tuple])
         return np.where(grams[at] == g, counts[at], 0) if len(grams) else np.zeros(len(g))
 
     best = np.zeros(len(terms))
-    norm = np.array([float((n.astype(float) ** 2) @ weight(frequency(g), 1)) for g, n in terms])
+    norm = np.concatenate([_norms(terms[at : at + ROWS], frequency, weight) for at in range(0, len(terms), ROWS)] or [best])
     for block in blocks:
         df = frequency(block.grams)
         w1, w0 = weight(df, 1), weight(df, 0)
         less = w0 - w1  # by which a shared gram lowers a reference's squared norm, times the square of its count
-        base = np.bincount(block.owner, block.tf.astype(float) ** 2 * w0[block.place], block.n)
-        lowered, frequent = block.tf.astype(float) ** 2 * less[block.place], block.line[block.place] >= 0
-        of_dense, of_all = np.bincount(block.owner, lowered * frequent, block.n), np.bincount(block.owner, lowered, block.n)
-        base32, lists = base.astype(np.float32), (block.listed_tf.astype(float) ** 2)
-        # what the cosine may gain at most where a candidate has all frequent grams of a reference
-        gain = np.sqrt(np.maximum(1.0, (base - of_all + of_dense) / np.maximum(base - of_all, 1e-300))).astype(np.float32)
+        square = block.tf.astype(float) ** 2
+        base = np.bincount(block.owner, square * w0[block.place], block.n)
+        lowered = square * less[block.place]
+        of_dense, of_all = np.bincount(block.owner, lowered * (block.line[block.place] >= 0), block.n), np.bincount(block.owner, lowered, block.n)
+        scale = np.where(base > 0, 1 / np.sqrt(np.where(base > 0, base, 1)), 0)
+        block.matrix *= scale.astype(np.float32)
+        lists, drops_of = block.listed_tf * scale[block.listed], block.listed_tf.astype(float) ** 2
+        # what the cosine may gain at most where a candidate has all grams of a reference, or all frequent ones
+        least = np.maximum(base - of_all, 1e-300)
+        gain, gain_dense = np.sqrt(np.maximum(1.0, base / least)).astype(np.float32), np.sqrt(np.maximum(1.0, (least + of_dense) / least))
         values, drops = np.zeros(len(block.grams)), np.zeros(len(block.grams))
         for at in range(0, len(terms), ROWS):
             some = terms[at : at + ROWS]
             row, place, n = block.hits(some)
             for a, z, part in block.steps(row, place, len(some)):
-                r, p, m = row[part] - a, place[part], n[part] * w1[place[part]]
-                dot = block.dense(r, p, m, z - a)
-                cell, hit, listed = block.sparse(r, p)
-                dot += np.bincount(cell, m[hit] * block.listed_tf[listed], dot.size).reshape(dot.shape)
-                drop = np.bincount(cell, less[p[hit]] * lists[listed], dot.size).reshape(dot.shape)
-                dot /= np.sqrt(np.maximum(base32 - drop, 1e-30)).astype(np.float32)  # too small by what frequent grams lower, and by rounding
-                floor = np.maximum(best[at + a : at + z], dot.max(axis=1)) * (1 - 1e-6 * 40 - 2.4e-7 * np.bincount(r, minlength=z - a))
-                dot *= gain
-                who, which = np.nonzero((dot >= floor[:, None]) & (dot > 0))
+                r, p = row[part] - a, place[part]
+                m = n[part] * w1[p]
+                low = block.dense(r, p, m, z - a)  # too small by what shared grams lower, and by rounding
+                cell, listed, spread = block.sparse(r, p)
+                low += np.bincount(cell, spread(m) * lists[listed], low.size).reshape(low.shape)
+                slack = 1 - 4e-5 - 2.4e-7 * np.bincount(r, minlength=z - a)
+                floor = np.maximum(best[at + a : at + z], low.max(axis=1)) * slack
+                may = low * gain >= np.maximum(floor, 1e-30).astype(np.float32)[:, None]
+                who, which = np.nonzero(may)
+                if not len(who):
+                    continue
+                # of these, what the grams in lists lower, and what the frequent ones may
+                flat = who * block.n + which
+                own = may.ravel()[cell]
+                drop = np.bincount(np.searchsorted(flat, cell[own]), spread(less[p])[own] * drops_of[listed[own]], len(flat))
+                nearer = low.ravel()[flat] / np.sqrt(np.maximum(1e-12, 1 - drop * scale[which] ** 2))
+                np.maximum.at(floor, who, nearer * slack[who])
+                keep = nearer * gain_dense[which] >= floor[who]
                 bounds = np.searchsorted(r, np.arange(z - a + 1))
-                for k, mine in zip(*_runs(who, which)):
+                for k, mine in zip(*_runs(who[keep], which[keep])):
                     own = slice(bounds[k], bounds[k + 1])
                     values[p[own]], drops[p[own]] = m[own], less[p[own]]
                     for j in mine:
@@ -262,17 +302,18 @@ def largest_cosine(terms: list, blocks: Iterator[Block], parts: Iterator[tuple])
     return np.where(norm > 0, best / np.sqrt(np.where(norm > 0, norm, 1)), 0.0)
 
 
+def _norms(terms: list, frequency: Callable, weight: Callable) -> np.ndarray:
+    """Squared norms of candidates."""
+    row = np.repeat(np.arange(len(terms)), [len(g) for g, _ in terms])
+    return np.bincount(row, np.concatenate([n for _, n in terms]).astype(float) ** 2 * weight(frequency(np.concatenate([g for g, _ in terms])), 1), len(terms))
+
+
 def _runs(who: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """Each candidate of a sorted list and what belongs to it."""
     k, first = np.unique(who, return_index=True)
     return k, np.split(which, first[1:]) if len(k) else []
 
 
-def _every(candidates: DataFrame, best: DataFrame, name: str) -> DataFrame:
-    ids = candidates.select("id").distinct()
-    return ids.join(best.withColumnRenamed("id", "_id"), F.col("id").cast("string") == F.col("_id"), "left").select("id", F.coalesce(name, F.lit(0.0)).alias(name))
-
-
 def cosine(a: Column, b: Column) -> Column:
     """Cosine of two arrays of the same length; 0 where one is zero."""
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)

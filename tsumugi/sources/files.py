@@ -20,13 +20,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def staged(df: DataFrame, name: str, by: str) -> tuple[DataFrame, str]:
+def staged(df: DataFrame, name: str, *by: str) -> tuple[DataFrame, str]:
     """``df`` written to the shared folder (``spark.checkpoint.dir``; where that is unset, one of this machine), a folder for each ``by``; and its URI."""
     spark = df.sparkSession
     where = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tsumugi-")
     target = spark._jvm.org.apache.hadoop.fs.Path(f"{where.rstrip('/')}/tsumugi/{uuid.uuid4().hex}/{name}")
     path = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
-    df.write.partitionBy(by).option("compression", "zstd").parquet(path)
+    df.write.partitionBy(*by).option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
 
 
