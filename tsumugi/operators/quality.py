@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tsumugi.config import SAFETY_PATTERNS, Config
 from tsumugi.functions.text import mean_length, python_regex, sentences, share
 from tsumugi.operators.similarity import cosine_measure, largest, overlap_measure
+from tsumugi.sources.files import staged
 
 #: Order of the reasons.
 REASONS = ("malformed", "length", "cosine", "ngram", "language", "title_safety", "body_safety")
@@ -60,7 +61,7 @@ def validate(candidates: DataFrame, references: DataFrame, styles: DataFrame, co
     """
     skipped = F.coalesce(F.col("model_category").isin(*config.skipped), F.lit(False))
     malformed = F.col("title").isNull() | F.col("body").isNull()
-    measured = candidates.where(~malformed & ~skipped).select("id", "category", F.col("body").alias("text"))
+    measured, _ = staged(candidates.where(~malformed & ~skipped).select("id", "category", F.col("body").alias("text")), "candidates")
     metrics = largest(measured, references, cosine_measure(config.tfidf_grams), overlap_measure(config.overlap_gram))
     full = with_ranges(candidates, styles, config).join(metrics, "id", "left").withColumns({"cosine": F.coalesce("cosine", F.lit(0.0)), "overlap": F.coalesce("overlap", F.lit(0.0))})
     tests = {

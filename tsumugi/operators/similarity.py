@@ -26,6 +26,8 @@ from tsumugi.sources.files import opened, staged
 CANDIDATES, REFERENCES = 2_400_000, 1_200_000
 #: Texts of a vectorised step; cells of its largest array, about; folders of a staged table.
 ROWS, CELLS, FOLDERS = 128, 500_000, 256
+#: Rows up to which a table of categories is broadcast.
+NARROW = 200_000
 #: Grams that a larger share of a block's references have are in its dense matrix.
 DENSE = 0.05
 _SPACE = re.compile(r"\s\s+")
@@ -39,12 +41,19 @@ def fold(text: str) -> str:
     return _SPACE.sub(" ", text).lower()
 
 
-def placed(texts: DataFrame, size: int) -> DataFrame:
-    """``id, category, text, b, i``: the folder and the block, of about ``size`` characters, of each row; rows of an id are in one."""
+def placed(texts: DataFrame, size: int, among: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
+    """``id, category, text, b, i``: the folder and the block, of about ``size`` characters, of each row; rows of an id are in one.
+
+    Only categories of ``among``. Texts are shuffled once, by their block; repeated rows count once. The plan of ``texts`` runs twice.
+    """
     rows = texts.where("category is not null").select(F.col("id").cast("string").alias("id"), "category", F.coalesce("text", F.lit("")).alias("text"))
-    blocks = rows.groupBy("category").agg(F.ceil(F.sum(F.length("text") + 1) / size).alias("n"))
+    blocks = rows.select("category", F.xxhash64("id"), F.length("text").alias("n")).distinct().groupBy("category").agg(F.ceil(F.sum(F.col("n") + 1) / size).alias("n"))
+    blocks, _ = staged(blocks if among is None else blocks.join(among, "category", "left_semi"), "blocks")
+    # without a hint, the texts may be shuffled by category for this join before its other side is known to be small
+    blocks = F.broadcast(blocks) if blocks.count() <= NARROW else blocks
     spread = rows.join(blocks, "category").withColumn("i", F.pmod(F.xxhash64("id"), F.col("n")).cast("int")).drop("n")
-    return spread.withColumn("b", F.pmod(F.xxhash64("category"), F.lit(FOLDERS)).cast("int"))
+    full = spread.withColumn("b", F.pmod(F.xxhash64("category"), F.lit(FOLDERS)).cast("int"))
+    return full.repartition(*([tasks] if tasks else []), "category", "b", "i").distinct()
 
 
 def once(block: pa.Table) -> tuple[list[str], list[str]]:
@@ -60,14 +69,14 @@ def counted(texts: list[str], sizes: tuple[int, ...]) -> list[tuple[np.ndarray,
 class Block:
     """A block of references: its grams, for each the references that have it, as a dense matrix or as a list."""
 
-    def __init__(self, texts: list[str], sizes: tuple[int, ...], grams: np.ndarray, df: np.ndarray):
+    def __init__(self, texts: list[str], sizes: tuple[int, ...]):
         terms = counted(texts, sizes)
-        self.n, self.grams, self.df = len(texts), grams, df
+        self.n = len(texts)
+        self.grams, place, self.df = np.unique(np.concatenate([g for g, _ in terms]), return_inverse=True, return_counts=True)
         self.lengths = np.array([len(g) for g, _ in terms])
         self.ends = np.concatenate([[0], np.cumsum(self.lengths)])
         self.tf = np.concatenate([n for _, n in terms]).astype(np.float32)
         self.owner = np.repeat(np.arange(self.n, dtype=np.int32), self.lengths)
-        place = np.searchsorted(grams, np.concatenate([g for g, _ in terms]))
         self.place = place.astype(np.int32)
         del terms, place
         frequent = self.df > DENSE * self.n
@@ -134,6 +143,8 @@ class Measure(NamedTuple):
     sizes: tuple[int, ...]
     prepare: Callable[[str], str]
     largest: Callable
+    #: Whether it needs the document frequencies of grams.
+    weighed: bool = False
 
 
 def read(path: str, b: int, category: str, *columns: str) -> Iterator[tuple]:
@@ -149,34 +160,37 @@ def read(path: str, b: int, category: str, *columns: str) -> Iterator[tuple]:
 
 
 def largest(candidates: DataFrame, references: DataFrame, *measures: Measure) -> DataFrame:
-    """``id`` and the largest value of each measure, in one pass over the candidates."""
-    parts = [x for k in range(len(measures)) for x in (f"g{k}", f"n{k}")]
+    """``id`` and the largest value of each measure, in one pass over the candidates' blocks.
+
+    The plans of both sides run more than once; a dear one should be staged before.
+    """
+    parts = [x for k, m in enumerate(measures) if m.weighed for x in (f"g{k}", f"n{k}")]
 
     def block(key: tuple, rows: pa.Table) -> pa.Table:
         texts, found = once(rows)[1], []
         for m in measures:
-            g, n = np.unique(np.concatenate([g for g, _ in counted([m.prepare(t) for t in texts], m.sizes)]), return_counts=True)
-            found += [g.tobytes(), n.astype(np.int32).tobytes()]
+            if m.weighed:
+                g, n = np.unique(np.concatenate([g for g, _ in counted([m.prepare(t) for t in texts], m.sizes)]), return_counts=True)
+                found += [g.tobytes(), n.astype(np.int32).tobytes()]
         return pa.table({"category": pa.array([key[0].as_py()]), "b": pa.array([key[1].as_py()], pa.int32()), "docs": pa.array([len(texts)]), "texts": pa.array([texts], pa.list_(pa.string())), **{name: pa.array([x], pa.binary()) for name, x in zip(parts, found)}})
 
     made = placed(references, REFERENCES).groupBy("category", "b", "i").applyInArrow(block, "category string, b int, docs long, texts array<string>" + "".join(f", {x} binary" for x in parts))
     kept, path = staged(made, "references", "b")
-    given, _ = staged(candidates.select("id", "category", "text"), "candidates")
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         category, b = key[0].as_py(), key[1].as_py()
         ids, texts = once(rows)
         found = {"id": pa.array(ids, pa.string())}
         for k, m in enumerate(measures):
-            blocks = (Block([m.prepare(t) for t in own], m.sizes, np.frombuffer(g, np.int64), np.frombuffer(n, np.int32)) for own, g, n in read(path, b, category, "texts", f"g{k}", f"n{k}"))
-            found[m.name] = pa.array(m.largest(counted([m.prepare(t) for t in texts], m.sizes), blocks, read(path, b, category, "docs", f"g{k}", f"n{k}")))
+            blocks = (Block([m.prepare(t) for t in own], m.sizes) for (own,) in read(path, b, category, "texts"))
+            frequencies = read(path, b, category, "docs", f"g{k}", f"n{k}") if m.weighed else None
+            found[m.name] = pa.array(m.largest(counted([m.prepare(t) for t in texts], m.sizes), blocks, frequencies))
         return pa.table(found)
 
-    known = given.join(kept.select("category").distinct(), "category", "left_semi")
     tasks = max(64, int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = placed(known, CANDIDATES).repartition(tasks, "category", "b", "i").groupBy("category", "b", "i")
+    rows = placed(candidates, CANDIDATES, kept.select("category").distinct(), tasks).groupBy("category", "b", "i")
     best = rows.applyInArrow(run, "id string" + "".join(f", {m.name} double" for m in measures)).groupBy(F.col("id").alias("_id")).agg(*[F.max(m.name).alias(m.name) for m in measures])
-    ids = given.select("id").distinct()
+    ids = candidates.select("id").distinct()
     return ids.join(best, F.col("id").cast("string") == F.col("_id"), "left").select("id", *[F.coalesce(m.name, F.lit(0.0)).alias(m.name) for m in measures])
 
 
@@ -192,7 +206,7 @@ def overlap_measure(n: int = 4) -> Measure:
     return Measure("overlap", (n,), squeeze, most_shared)
 
 
-def most_shared(terms: list, blocks: Iterator[Block], _: Iterator[tuple]) -> np.ndarray:
+def most_shared(terms: list, blocks: Iterator[Block], _: None) -> np.ndarray:
     best = np.zeros(len(terms))
     for block in blocks:
         block.tf[:], block.listed_tf[:] = 1, 1
@@ -221,7 +235,7 @@ def cosines(candidates: DataFrame, references: DataFrame, sizes: tuple[int, int]
 
 
 def cosine_measure(sizes: tuple[int, int] = (2, 3)) -> Measure:
-    return Measure("cosine", tuple(range(sizes[0], sizes[1] + 1)), fold, largest_cosine)
+    return Measure("cosine", tuple(range(sizes[0], sizes[1] + 1)), fold, largest_cosine, True)
 
 
 def document_frequencies(parts: Iterator[tuple]) -> tuple[int, np.ndarray, np.ndarray]:

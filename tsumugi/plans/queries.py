@@ -33,7 +33,7 @@ def generated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def references(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = profile.valid_samples(corpus(spark, sf_dir)).where("category is not null")
-    return rows.select(F.col("row_id").alias("id"), "category", F.col("body").alias("text")).distinct()
+    return rows.select(F.col("row_id").alias("id"), "category", F.col("body").alias("text"))
 
 
 def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +126,7 @@ def representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _measured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generated(spark, sf_dir).where("body is not null").select(F.col("aug_id").alias("id"), "category", F.col("body").alias("text"))
+    return table(spark, sf_dir, "augmented_data").where("body is not null").select(F.col("aug_id").alias("id"), "category", F.col("body").alias("text"))
 
 
 def ngram_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
