@@ -164,18 +164,14 @@ def largest(candidates: DataFrame, references: DataFrame, *measures: Measure) ->
 
     The plans of both sides run more than once; a dear one should be staged before.
     """
-    parts = [x for k, m in enumerate(measures) if m.weighed for x in (f"g{k}", f"n{k}")]
+    tasks = max(64, int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def block(key: tuple, rows: pa.Table) -> pa.Table:
-        texts, found = once(rows)[1], []
-        for m in measures:
-            if m.weighed:
-                g, n = np.unique(np.concatenate([g for g, _ in counted([m.prepare(t) for t in texts], m.sizes)]), return_counts=True)
-                found += [g.tobytes(), n.astype(np.int32).tobytes()]
-        return pa.table({"category": pa.array([key[0].as_py()]), "b": pa.array([key[1].as_py()], pa.int32()), "docs": pa.array([len(texts)]), "texts": pa.array([texts], pa.list_(pa.string())), **{name: pa.array([x], pa.binary()) for name, x in zip(parts, found)}})
-
-    made = placed(references, REFERENCES).groupBy("category", "b", "i").applyInArrow(block, "category string, b int, docs long, texts array<string>" + "".join(f", {x} binary" for x in parts))
+        return pa.table({"category": pa.array([key[0].as_py()]), "b": pa.array([key[1].as_py()], pa.int32()), "texts": pa.array([once(rows)[1]], pa.list_(pa.string()))})
+
+    made = placed(references, REFERENCES).groupBy("category", "b", "i").applyInArrow(block, "category string, b int, texts array<string>")
     kept, path = staged(made, "references", "b")
+    weights = [staged_frequencies(kept, path, m, tasks) if m.weighed else "" for m in measures]
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         category, b = key[0].as_py(), key[1].as_py()
@@ -183,17 +179,35 @@ def largest(candidates: DataFrame, references: DataFrame, *measures: Measure) ->
         found = {"id": pa.array(ids, pa.string())}
         for k, m in enumerate(measures):
             blocks = (Block([m.prepare(t) for t in own], m.sizes) for (own,) in read(path, b, category, "texts"))
-            frequencies = read(path, b, category, "docs", f"g{k}", f"n{k}") if m.weighed else None
+            frequencies = read(weights[k], b, category, "docs", "grams", "counts") if m.weighed else None
             found[m.name] = pa.array(m.largest(counted([m.prepare(t) for t in texts], m.sizes), blocks, frequencies))
         return pa.table(found)
 
-    tasks = max(64, int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = placed(candidates, CANDIDATES, kept.select("category").distinct(), tasks).groupBy("category", "b", "i")
     best = rows.applyInArrow(run, "id string" + "".join(f", {m.name} double" for m in measures)).groupBy(F.col("id").alias("_id")).agg(*[F.max(m.name).alias(m.name) for m in measures])
     ids = candidates.select("id").distinct()
     return ids.join(best, F.col("id").cast("string") == F.col("_id"), "left").select("id", *[F.coalesce(m.name, F.lit(0.0)).alias(m.name) for m in measures])
 
 
+def staged_frequencies(kept: DataFrame, path: str, m: Measure, tasks: int) -> str:
+    """Where the document frequencies of the grams of each category of the staged references are, once a category; in parts."""
+
+    def of_blocks(category: str, b: int) -> Iterator[tuple]:
+        for (texts,) in read(path, b, category, "texts"):
+            g, n = np.unique(np.concatenate([g for g, _ in counted([m.prepare(t) for t in texts], m.sizes)]), return_counts=True)
+            yield len(texts), g.tobytes(), n.astype(np.int32).tobytes()
+
+    def count(key: tuple, _: pa.Table) -> pa.Table:
+        category, b = key[0].as_py(), key[1].as_py()
+        docs, grams, counts = document_frequencies(of_blocks(category, b))
+        parts = range(0, max(1, len(grams)), CELLS)
+        cut = lambda x: pa.array([x[a : a + CELLS].tobytes() for a in parts], pa.binary())
+        return pa.table({"category": pa.array([category] * len(parts)), "b": pa.array([b] * len(parts), pa.int32()), "docs": pa.array([docs if a == 0 else 0 for a in parts]), "grams": cut(grams), "counts": cut(counts)})
+
+    made = kept.select("category", "b").repartition(tasks, "category", "b").groupBy("category", "b").applyInArrow(count, "category string, b int, docs long, grams binary, counts binary")
+    return staged(made, "frequencies", "b")[1]
+
+
 def overlaps(candidates: DataFrame, references: DataFrame, n: int = 4) -> DataFrame:
     """``id, overlap``: the largest share of a candidate's distinct ``n``-grams that one reference of its category has.
 
