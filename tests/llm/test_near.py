@@ -156,3 +156,28 @@ def test_a_large_group_of_near_copies_meets_its_first_only(spark):
     df = spark.createDataFrame(rows, "id bigint, load int, category string, text string")
     found = history.repeats(df, "id", "load", "category", "text", buckets=2)
     assert {r["id"] for r in found.collect()} == set(range(100, 200))
+
+
+def test_only_plausible_pairs_leave_a_bucket(spark, monkeypatch):
+    base, other = bodies(11, 2)[:2]
+    texts = [base[:80] + bodies(100 + k, 1)[0][:120] for k in range(40)]
+    assert not brute(texts) and all(jaccard(grams_of(texts[0]), grams_of(t)) > 0.2 for t in texts)
+    rows = [(i, i // 20, "a", t) for i, t in enumerate(texts)] + [(90, 0, "a", other), (91, 1, "a", other[:90] + "変" + other[90:])]
+    staged = []
+    monkeypatch.setattr(history, "stage", lambda df, name, *under: staged.append((name, x := common.stage(df, name, *under), x.count())) or x)
+    found = history.repeats(spark.createDataFrame(rows, "id bigint, load int, category string, text string"), "id", "load", "category", "text", buckets=2)
+    assert {(r["id"], r["first_id"]) for r in found.collect()} == {(91, 90)}
+    assert {n for name, _, n in staged if name == "close"} == {1} and all(n <= 2 for name, _, n in staged if name == "met")
+
+
+@pytest.mark.parametrize("crossed,light,step", [(256, 4, 1 << 17), (256, 4, 7), (256, 0, 7), (0, 0, 1 << 17)])
+def test_repeats_whatever_lists_are_short(spark, monkeypatch, crossed, light, step):
+    for name, value in (("CROSSED", crossed), ("LIGHT", light), ("STEP", step), ("TILE", 3)):
+        monkeypatch.setattr(history, name, value)
+    texts = bodies(12, 12)
+    group = [texts[0][:i] + "変" + texts[0][i:] for i in range(0, 80, 4)]
+    shared = [texts[1][:120] + t[:90] for t in texts[2:12]]
+    rows = [(i, i % 3, "a", t) for i, t in enumerate([*texts, *group, *shared])]
+    expected = {y[0] for i, j in brute([r[3] for r in rows]) for x, y in ((rows[i], rows[j]), (rows[j], rows[i])) if x[1] < y[1]}
+    found = history.repeats(spark.createDataFrame(rows, "id bigint, load int, category string, text string"), "id", "load", "category", "text", buckets=2).collect()
+    assert {r["id"] for r in found} == expected and len(found) == len(expected)

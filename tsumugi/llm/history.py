@@ -1,9 +1,9 @@
 """Problem 2: check each new batch for duplicates of anything that came before, without going through the history anew.
 
-The index persists, of each distinct text ever taken in, the keys of its minwise subsets, packed in buckets by hash of the key, and
-once the text itself with its signature's print. A batch probes bucket by bucket: both sides of a bucket lie in the same place, the
-history is neither shuffled nor sorted, and only keys that the batch has leave it. Texts that share a key and have plausible prints
-are verified by their exact sets; only their rows are taken from the stored texts. What a batch adds becomes part of the history
+The index persists, of each distinct text ever taken in, the keys of its minwise subsets, packed in buckets by hash of the key with
+the text's size and print, and once the text itself. A batch probes bucket by bucket: both sides of a bucket lie in the same place,
+the history is neither shuffled nor sorted, and only pairs that share a key and have plausible prints leave it. These are verified by
+their exact sets; only their rows are taken from the stored texts. What a batch adds becomes part of the history
 by a marker written last, so that a batch that failed halfway leaves nothing behind and is taken again as a whole.
 """
 
@@ -17,15 +17,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsumugi.llm import common
 from tsumugi.llm.codes import mix
 from tsumugi.llm.common import exists, few, listed, mark, new_folder, only, remove, stage, unstage
-from tsumugi.llm.shingles import CHOSEN, ELEMENTS, LEAST_CHARS, OTHERS, PRINTS, ROWS, chunked, compact, compared, plausible, prints, samples, subset_keys, texts_of
+from tsumugi.llm.shingles import CHOSEN, ELEMENTS, LEAST_CHARS, OTHERS, PRINTS, ROWS, chunked, compact, compared, likely, plausible, prints, samples, subset_keys, texts_of
 
 #: Keys of a text: those of its subsets and that of its whole.
 OWN_KEYS = ELEMENTS // CHOSEN + 1
 #: Rows of a key's two lists that one task crosses.
 TILE = 1024
+#: Pairs for each row of a key's two lists that are held against each other where the key is found, and that come out of it, at most.
+CROSSED, LIGHT = 256, 4
+#: Pairs held against each other at once.
+STEP = 1 << 17
 #: Texts in a file, about.
 FILE_ROWS = 50_000
 #: A row with a text stands for so many narrow ones.
@@ -34,14 +37,14 @@ TEXT_KEY = ["salt", "h1", "h2"]
 TEXTS = "id long, size int, " + "".join(f"{p} long, " for p in PRINTS) + "text string"
 SIGNED = f"{TEXTS}, keys binary"
 FOUND, MEMBERS = "a long, b long, similarity double", "id long, rep long"
-KEYS = "bucket int, load int, base long, ids binary, keys binary"
+KEYS = "bucket int, load int, base long, ids binary, sizes binary, prints binary, counts binary, keys binary"
 PACKED = [c.split()[0] for c in KEYS.split(", ")]
 
 
 class History:
     """A growing index of samples. Each delivery is taken in once, under the number of its load, in ascending order.
 
-    The number of buckets is for the size the history will have: a bucket's keys (six to twelve bytes each) must fit into a task.
+    The number of buckets is for the size the history will have: a bucket's keys (four bytes each), and 30 to 37 bytes for each text that has any there, must fit into a task.
     """
 
     def __init__(self, spark: SparkSession, buckets: int = 6, folder: str | None = None) -> None:
@@ -138,12 +141,13 @@ def _similar(met: DataFrame, signed: DataFrame, rows: int, texts: DataFrame, wor
     copy is always found.
     """
     n = {r["kind"]: r["count"] for r in met.groupBy("kind").count().collect()}
-    first = _verified(met.where("kind < 2").select("a", "b"), signed, rows, texts, work, n.get(0, 0) + n.get(1, 0))
-    if 2 not in n:
+    first = _verified(met.where("kind = 0").select("a", "b").distinct(), n.get(0, 0), signed, texts, work)
+    if 1 not in n:
         return first
     first = stage(first, "first", work)
-    tiles = met.where("kind = 2").select("tile", "a").join(met.where("kind = 3").select("tile", "b"), "tile").select("a", "b")
-    return first.unionByName(_verified(tiles.join(few(first.select("a").distinct(), rows), "a", "left_anti"), signed, rows, texts, work))
+    tiles = met.where("kind = 1").select("tile", "a").join(met.where("kind = 2").select("tile", "b"), "tile").select("a", "b")
+    left = _plausible(tiles.join(few(first.select("a").distinct(), rows), "a", "left_anti"), signed, rows, texts, work)
+    return first.unionByName(_verified(left, left.count(), signed, texts, work))
 
 
 def _signed(rows: DataFrame) -> DataFrame:
@@ -161,103 +165,140 @@ def _signed(rows: DataFrame) -> DataFrame:
 
 
 def _packed(signed: DataFrame, numbers: np.ndarray) -> DataFrame:
-    """``bucket, base, ids, keys``: of each batch of texts the keys of each bucket, four bytes each, and whose they are.
+    """``PACKED`` without ``load``: of each batch of texts the keys of each bucket, four bytes each, and the texts that have any there.
 
-    Ids are stored as differences from ``base``, in as few bytes as the largest needs.
+    ``counts`` has the number of keys of each of these texts, which follow each other. Ids are stored as differences from ``base``,
+    in as few bytes as the largest needs.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
+            if not (n := batch.num_rows):
                 continue
-            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64)
+            keys = np.frombuffer(b"".join(batch.column("keys").to_pylist()), np.uint64)
             bucket = ((keys >> np.uint64(32)) % np.uint64(len(numbers))).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            low, ids = keys.astype(np.uint32)[order], np.repeat(batch.column(0).to_numpy(), OWN_KEYS)[order]
+            low, cuts = keys.astype(np.uint32)[order], np.searchsorted(bucket[order], np.arange(len(numbers) + 1)).tolist()
+            ids, sizes, marks = batch.column("id").to_numpy(), batch.column("size").to_numpy(), np.column_stack([batch.column(p).to_numpy() for p in PRINTS])
             base = ids.min()
             ids = (ids.view(np.uint64) - base.view(np.uint64)).astype(np.min_scalar_type(int(ids.max()) - int(base)))
-            cuts = np.searchsorted(bucket[order], np.arange(len(numbers) + 1)).tolist()
-            parts = [(a, b) for a, b in zip(cuts, cuts[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array([int(base)] * len(parts), pa.int64()), pa.array([ids[a:b].tobytes() for a, b in parts], pa.binary()), pa.array([low[a:b].tobytes() for a, b in parts], pa.binary())], names=["bucket", "base", "ids", "keys"])
+            parts = []
+            for a, b in zip(cuts, cuts[1:]):
+                counts = np.bincount(order[a:b] // OWN_KEYS, minlength=n)
+                own = np.flatnonzero(counts)
+                parts.append([x.tobytes() for x in (ids[own], sizes[own], marks[own], counts[own].astype(np.uint8), low[a:b])])
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array([int(base)] * len(parts), pa.int64()), *(pa.array(x, pa.binary()) for x in zip(*parts))], names=[c for c in PACKED if c != "load"])
 
-    return signed.select("id", "keys").mapInArrow(run, "bucket int, base long, ids binary, keys binary")
+    return signed.select("id", "size", *PRINTS, "keys").mapInArrow(run, KEYS.replace("load int, ", ""))
 
 
-def _unpacked(side: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Load, keys and ids of each packed row."""
-    for load, base, ids, keys in zip(*(side.column(c).to_pylist() for c in ("load", "base", "ids", "keys"))):
-        low = np.frombuffer(keys, np.uint32)
-        if len(low):
-            yield load, low, np.frombuffer(ids, f"u{len(ids) // len(low)}").astype(np.int64) + base
+def _unpacked(side: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray, tuple[np.ndarray, ...]]]:
+    """Load, keys, and the place of each key's text among the row's texts; ids, sizes and prints of these, of each packed row."""
+    for batch in side.to_batches():
+        for load, base, *packed in zip(*(batch.column(c) for c in PACKED[1:])):
+            ids, sizes, marks, counts, keys = (x.as_buffer() for x in packed)
+            counts = np.frombuffer(counts, np.uint8)
+            if n := len(counts):
+                texts = np.frombuffer(ids, f"u{len(ids) // n}").astype(np.int64) + base.as_py(), np.frombuffer(sizes, np.int32), np.frombuffer(marks, np.uint64).reshape(n, -1)
+                yield load.as_py(), np.frombuffer(keys, np.uint32), np.repeat(np.arange(n), counts), texts
 
 
-def _lists(old: pa.Table, new: pa.Table) -> tuple[np.ndarray, ...] | None:
-    """The keys both sides of a bucket have: starts and lengths of their lists of new and of old ids, and these ids.
+def _lists(old: pa.Table, new: pa.Table) -> tuple | None:
+    """The keys both sides of a bucket have: starts and lengths of their lists of new and of old texts, these lists, and the texts of either side.
 
-    Old ids of a key are in the order they came in. A bit for each key of the batch leaves out nearly all keys of the history.
+    Old texts of a key are in the order they came in. A bit for each key of the batch leaves out nearly all keys of the history.
     """
-    mine = [(k, i) for _, k, i in _unpacked(new)]
+    mine = list(_unpacked(new))
     if not mine or not old.num_rows:
         return None
-    keys, ids = (np.concatenate(x) for x in zip(*mine))
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    first = np.concatenate([[True], (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])])
-    keys, ids = keys[first], ids[first]
+    keys, own = np.concatenate([k for _, k, _, _ in mine]), _joined([x for _, _, *x in mine])
+    order = np.lexsort((own[1][0][own[0]], keys))
+    keys, ours = keys[order], own[0][order]
+    first = np.concatenate([[True], (keys[1:] != keys[:-1]) | (ours[1:] != ours[:-1])])
+    keys, ours = keys[first], ours[first]
     values, starts, sizes = np.unique(keys, return_index=True, return_counts=True)
     low = np.uint32((1 << (16 * len(values) - 1).bit_length()) - 1 & 0xFFFFFFFF)
     has = np.zeros(int(low) + 1, bool)
     has[values & low] = True
-    hits = []
-    for load, k, i in _unpacked(old):
-        maybe = has[k & low]
-        k, i = k[maybe], i[maybe]
-        at = np.minimum(np.searchsorted(values, k), len(values) - 1)
-        ok = values[at] == k
-        hits.append((at[ok], np.full(ok.sum(), load), i[ok]))
-    at, loads, theirs = (np.concatenate(x) for x in zip(*hits))
+    hits, met = [], []
+    for load, k, place, texts in _unpacked(old):
+        maybe = np.flatnonzero(has[k & low])
+        at = np.minimum(np.searchsorted(values, k[maybe]), len(values) - 1)
+        ok = values[at] == k[maybe]
+        used, place = np.unique(place[maybe[ok]], return_inverse=True)
+        hits.append((at[ok], np.full(len(place), load)))
+        met.append((place, tuple(x[used] for x in texts)))
+    at, loads = (np.concatenate(x) for x in zip(*hits))
     if not len(at):
         return None
-    order = np.lexsort((theirs, loads, at))
-    at, theirs = at[order], theirs[order]
-    both, old_starts, old_sizes = np.unique(at, return_index=True, return_counts=True)
-    return starts[both], sizes[both], ids, old_starts, old_sizes, theirs
+    place, texts = _joined(met)
+    order = np.lexsort((texts[0][place], loads, at))
+    both, old_starts, old_sizes = np.unique(at[order], return_index=True, return_counts=True)
+    return starts[both], sizes[both], ours, own[1], old_starts, old_sizes, place[order], texts
+
+
+def _joined(parts: list) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """Places among texts, and texts, of several packed rows as of one."""
+    before = np.cumsum([0, *(len(texts[0]) for _, texts in parts)])
+    return np.concatenate([place + n for (place, _), n in zip(parts, before.tolist())]), tuple(map(np.concatenate, zip(*(texts for _, texts in parts))))
 
 
 def _met(old: DataFrame, new: DataFrame) -> DataFrame:
     """``kind, tile, a, b``: ids of the batch and of the history that share a key.
 
-    Kind 0: each id with the first one of the history that has the key. Kind 1: with the others, if the key's lists are short.
-    Long lists come out as tiles, kind 2 their ids of the batch and kind 3 those of the history, so that a hot key is spread and
-    what leaves a bucket is no longer than the lists.
+    Kind 0: pairs with plausible prints, of each text with the first one of the history that has the key, and with the others if the
+    key's lists are short enough and few of their pairs are plausible. Other lists come out as tiles, kind 1 their ids of the batch and
+    kind 2 those of the history, so that a hot key is spread and what leaves a bucket is no longer than the lists, or ``LIGHT`` times.
     """
 
     def meet(key: tuple, old: pa.Table, new: pa.Table) -> pa.Table:
         parts: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
         if (found := _lists(old, new)) is not None:
-            starts, sizes, ids, old_starts, old_sizes, theirs = found
+            starts, sizes, ours, own, old_starts, old_sizes, theirs, texts = found
             none = lambda x: np.zeros(len(x), np.int64)
-            each = np.concatenate([ids[s : s + n] for s, n in zip(starts.tolist(), sizes.tolist())])
-            parts.append((0, *_pairs(each, np.repeat(theirs[old_starts], sizes))))
             rest = old_sizes - 1
-            light = (rest > 0) & (sizes * rest <= 4 * (sizes + rest))
-            s, t, m = starts[light], old_starts[light] + 1, rest[light]
-            n = sizes[light] * m
-            place, width = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n), np.repeat(m, n)
-            parts.append((1, *_pairs(ids[np.repeat(s, n) + place // width], theirs[np.repeat(t, n) + place % width])))
-            for k in np.flatnonzero((rest > 0) & ~light).tolist():
-                left, right = ids[starts[k] : starts[k] + sizes[k]], theirs[old_starts[k] + 1 : old_starts[k] + old_sizes[k]]
+            _, a, b = _crossed(sizes, starts, sizes, ours, own, old_starts, np.ones_like(rest), theirs, texts)
+            pairs = [(a, b)]
+            light = rest * sizes <= CROSSED * (sizes + rest)
+            kept, a, b = _crossed(LIGHT * (sizes + rest)[light], starts[light], sizes[light], ours, own, old_starts[light] + 1, rest[light], theirs, texts)
+            light[np.flatnonzero(light)[~kept]] = False
+            pairs.append((a, b))
+            parts.append((0, *_pairs(*(ids[np.concatenate(x)] for ids, x in zip((own[0], texts[0]), zip(*pairs))))))
+            for k in np.flatnonzero(~light).tolist():
+                left, right = own[0][ours[starts[k] : starts[k] + sizes[k]]], texts[0][theirs[old_starts[k] + 1 : old_starts[k] + old_sizes[k]]]
                 for x in range(0, len(left), TILE):
                     for y in range(0, len(right), TILE):
                         number = np.int64(key[0].as_py()) << 40 | len(parts)
                         a, b = left[x : x + TILE], right[y : y + TILE]
-                        parts += [(2, np.full(len(a), number), a, none(a)), (3, np.full(len(b), number), none(b), b)]
+                        parts += [(1, np.full(len(a), number), a, none(a)), (2, np.full(len(b), number), none(b), b)]
         columns = [np.concatenate([np.full(len(p[1]), p[0], np.int32) for p in parts] or [np.empty(0, np.int32)]), *(np.concatenate([p[c] for p in parts] or [np.empty(0, np.int64)]) for c in (1, 2, 3))]
         return pa.table(dict(zip(("kind", "tile", "a", "b"), map(pa.array, columns))))
 
     return old.select(*PACKED).groupBy("bucket").cogroup(new.select(*PACKED).groupBy("bucket")).applyInArrow(meet, "kind int, tile long, a long, b long")
 
 
+def _crossed(most: np.ndarray, s: np.ndarray, n: np.ndarray, ours: np.ndarray, own: tuple, t: np.ndarray, m: np.ndarray, theirs: np.ndarray, texts: tuple) -> tuple[np.ndarray, ...]:
+    """Of keys with lists from ``s`` and ``t`` on, ``n`` and ``m`` long: whether ``most`` pairs at most of a key are plausible, and those of such keys."""
+    ends, count = np.cumsum(n * m), np.zeros(len(n), np.int64)
+    begins, out = ends - n * m, []
+    for x in range(0, int(ends[-1]) if len(ends) else 0, STEP):
+        key = np.arange(np.searchsorted(ends, x, "right"), np.searchsorted(begins, x + STEP, "left"))
+        key = key[count[key] <= most[key]]
+        low = np.maximum(begins[key], x)
+        pairs = np.minimum(ends[key], x + STEP) - low
+        k = np.repeat(key, pairs)
+        place = np.arange(len(k)) + np.repeat(low - begins[key] - (np.cumsum(pairs) - pairs), pairs)
+        a, b = ours[s[k] + place // m[k]], theirs[t[k] + place % m[k]]
+        ok = likely(own[1][a], own[2][a], texts[1][b], texts[2][b])
+        k, a, b = k[ok], a[ok], b[ok]
+        count += np.bincount(k, minlength=len(n))
+        few_enough = (count <= most)[k]
+        out.append((k[few_enough], a[few_enough], b[few_enough]))
+    k, a, b = (np.concatenate(c) for c in zip(*out)) if out else [np.empty(0, np.int64)] * 3
+    kept = count <= most
+    return kept, a[kept[k]], b[kept[k]]
+
+
 def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
     """Tile 0, and each pair once."""
     order = np.lexsort((b, a))
@@ -267,25 +308,19 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
     return np.zeros(first.sum(), np.int64), a[first], b[first]
 
 
-def _verified(met: DataFrame, signed: DataFrame, rows: int, texts: DataFrame, work: str, most: int | None = None) -> DataFrame:
-    """``a, b, similarity`` of the pairs that are similar; texts of either side are moved for plausible pairs only.
-
-    ``most``: pairs there are at most. A side is sent to the other if it is small; else both are shuffled.
-    """
+def _plausible(met: DataFrame, signed: DataFrame, rows: int, texts: DataFrame, work: str) -> DataFrame:
+    """``a, b``, each pair once: those of ``met`` whose prints and sizes allow that they are similar."""
     own = few(signed.select(F.col("id").alias("a"), "size", *PRINTS), rows)
-    pairs, likely = met.distinct().join(own, "a"), plausible(F.col("size"), F.col("sb"))
-    other = texts.select(F.col("id").alias("b"), F.col("size").alias("sb"), *(F.col(p).alias(q) for p, q in zip(PRINTS, OTHERS)), F.col("text").alias("tb"))
-    if most is None or most > common.BROADCAST_ROWS:
-        pairs = stage(pairs, "pairs", work)
-        most = pairs.count()
+    pairs = stage(met.distinct().join(own, "a"), "pairs", work)
+    other = texts.select(F.col("id").alias("b"), F.col("size").alias("sb"), *(F.col(p).alias(q) for p, q in zip(PRINTS, OTHERS)))
+    return stage(other.join(few(pairs, pairs.count()), "b").where(plausible(F.col("size"), F.col("sb"))).select("a", "b"), "likely", work)
+
+
+def _verified(pairs: DataFrame, most: int, signed: DataFrame, texts: DataFrame, work: str) -> DataFrame:
+    """``a, b, similarity`` of the pairs, ``most`` at most, that are similar; a side is sent to the other if it is small, else both are shuffled."""
     if not most:
         return signed.sparkSession.createDataFrame([], FOUND)
-    if most > common.BROADCAST_ROWS:
-        left = stage(other.drop("tb").join(pairs, "b").where(likely).select("a", "b"), "likely", work)
-        close = other.select("b", "tb").join(few(left, left.count()), "b")
-    else:
-        close = other.join(F.broadcast(pairs), "b").where(likely)
-    close = stage(close.select("a", "b", "tb"), "close", work)
+    close = stage(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")).join(few(pairs, most), "b").select("a", "b", "tb"), "close", work)
     return compared(signed.select(F.col("id").alias("a"), F.col("text").alias("ta")).join(few(close, close.count() * WIDE), "a"))
 
 

@@ -116,6 +116,12 @@ def plausible(size_a: Column, size_b: Column) -> Column:
     return (apart <= print_bits(ELEMENTS)) & (small >= large * (THRESHOLD - 0.02))
 
 
+def likely(size_a: np.ndarray, prints_a: np.ndarray, size_b: np.ndarray, prints_b: np.ndarray) -> np.ndarray:
+    """``plausible`` of arrays: sizes, and unsigned prints by rows."""
+    apart = np.bitwise_count(prints_a ^ prints_b).sum(axis=1, dtype=np.int64)
+    return (apart <= print_bits(ELEMENTS)) & (np.minimum(size_a, size_b) >= np.maximum(size_a, size_b) * (THRESHOLD - 0.02))
+
+
 def verified(pairs: DataFrame, bodies: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``a, b, similarity`` of the pairs (``a, b``) whose bodies (``id, text``) are similar, by their exact sets.
 
